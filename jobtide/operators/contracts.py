@@ -117,7 +117,7 @@ def municipality_dimension_check(codes: DataFrame, dimension: DataFrame) -> Data
     residual = F.col("code") == RESIDUAL_MUNICIPALITY
     matched = F.col("full_codes").isNotNull()
     mismatch = F.when(residual, F.col("uf") != "NI").when(
-        matched, ~(F.col("uf") <=> state_of_municipality(F.col("code")))
+        matched, ~F.col("uf").eqNullSafe(state_of_municipality(F.col("code")))
     )
     facts = pairs.join(prefixes, "code", "left")
     per_code = facts.groupBy("code").agg(

@@ -195,7 +195,7 @@ def stock_guard(scope: DataFrame, year: int, families: Iterable[str], expected_a
     """One row with the violations that forbid publication and an ``ok`` flag."""
     counts = scope.agg(
         F.count(F.lit(1)).alias("stock"),
-        F.count_if(~(F.col("year") <=> F.lit(year))).alias("other_year"),
+        F.count_if(~F.col("year").eqNullSafe(F.lit(year))).alias("other_year"),
         F.count_if(~F.coalesce("active_3112", F.lit(False))).alias("not_active"),
         F.count_if(~F.coalesce(F.col("cbo_familia").isin(sorted(families)), F.lit(False))).alias("outside_scope"),
     )
@@ -285,7 +285,7 @@ def stock_by_municipality(scope: DataFrame, dimension: DataFrame) -> DataFrame:
     problem = (
         F.when(residual, F.lit(None).cast("string"))
         .when(F.col("municipio_codigo_ibge").isNull(), F.lit("unknown municipality"))
-        .when(~(F.col("__uf") <=> F.col("uf")), F.lit("state differs"))
+        .when(~F.col("__uf").eqNullSafe(F.col("uf")), F.lit("state differs"))
     )
     joined = shares.join(names, "municipio_codigo", "left").withColumn("problem", problem)
     return joined.select(

@@ -129,7 +129,7 @@ def part_set_problems(parts: DataFrame, year: int) -> DataFrame:
     kinds = ["quality", "silver", "reject", "manifest"]
     counts = parts.agg(
         *[F.count_if(F.col("kind") == kind).alias(kind) for kind in kinds],
-        F.count_if(~(F.col("year") <=> F.lit(year))).alias("other_year"),
+        F.count_if(~F.col("year").eqNullSafe(F.lit(year))).alias("other_year"),
     )
     expected = EXPECTED_PARTS_BY_YEAR.get(year)
     size_ok = F.col("quality") == expected if expected else F.col("quality") > 0
