@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.errors import LayoutError
@@ -27,16 +27,24 @@ def missing_headers(columns: list[str], required: set[str] = FLOW_REQUIRED_HEADE
     return sorted(required - {compact_header(name) for name in columns})
 
 
-def with_flow_names(raw: DataFrame) -> DataFrame:
-    """Contract column names, unknown columns kept under their normalised name, null words turned into nulls."""
-    missing = missing_headers(raw.columns)
+def flow_names(columns: list[str]) -> dict[str, str]:
+    """Contract name of each file column; unknown columns keep their normalised name."""
+    missing = missing_headers(columns)
     if missing:
         raise LayoutError("flow file lacks required columns: " + ", ".join(missing))
-    compact = [compact_header(name) for name in raw.columns]
-    if len(set(compact)) != len(compact):
+    compact = {name: compact_header(name) for name in columns}
+    if len(set(compact.values())) != len(columns):
         raise LayoutError("flow file has headers that normalise to the same name")
-    names = [FLOW_COLUMN_NAMES.get(name, name) for name in compact]
-    return raw.toDF(*names).select(*[null_tokens_to_null(F.col(f"`{name}`")).alias(name) for name in names])
+    return {name: FLOW_COLUMN_NAMES.get(short, short) for name, short in compact.items()}
+
+
+def named_columns(names: dict[str, str]) -> list[Column]:
+    """Columns under their contract name, null words turned into nulls."""
+    return [null_tokens_to_null(F.col(f"`{old}`")).alias(new) for old, new in names.items()]
+
+
+def with_flow_names(raw: DataFrame) -> DataFrame:
+    return raw.select(*named_columns(flow_names(raw.columns)))
 
 
 def read_flow(spark: SparkSession, paths: str | list[str], month: str, kind: str = "MOV") -> DataFrame:
