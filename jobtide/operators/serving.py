@@ -82,43 +82,41 @@ def _serve(table: DataFrame, problem: Column, columns: dict[str, str]) -> DataFr
     return table.withColumn("__problem", problem).select(date.alias("competence"), *picked)
 
 
-_METRICS = [
-    *COUNTS, "salary_mean_admissions", "salary_median_admissions", "salary_mean_admissions_real",
-    "salary_median_admissions_real",
-]
-
-
-def serving_tables(
-    overview: DataFrame,
-    quality: DataFrame,
-    by_uf: DataFrame,
-    by_occupation: DataFrame,
-    by_municipality: DataFrame,
-    manifests: DataFrame,
-) -> ServingTables:
-    """The four serving tables of all months in ``overview``. ``manifests`` gives (competence, sha256)."""
-    metrics = {c: c for c in _METRICS}
+_METRICS = {
+    c: c
+    for c in [
+        *COUNTS, "salary_mean_admissions", "salary_median_admissions", "salary_mean_admissions_real",
+        "salary_median_admissions_real",
+    ]
+}
+
+
+def serving_release(overview: DataFrame, quality: DataFrame, manifests: DataFrame) -> DataFrame:
+    """One row per month. ``quality`` gives (competence, valid_rate), ``manifests`` (competence, sha256)."""
     release = overview.join(quality.select("competence", "valid_rate"), "competence", "left").join(
         manifests.select("competence", F.col("sha256").alias("source_sha256")), "competence", "left"
     )
     release = release.withColumns({"publishable": F.lit(True), "valid_rate": F.coalesce("valid_rate", F.lit(0.0))})
     others = ["source_sha256", "publishable", "records_tech", "salary_real_base_competence", "valid_rate"]
+    return _serve(release, release_problem(), {**{c: c for c in others}, **_METRICS})
+
+
+def serving_states(by_uf: DataFrame) -> DataFrame:
+    return _serve(by_uf.withColumn("uf", F.upper("uf")), state_problem(), {"uf": "uf", **_METRICS})
+
+
+def serving_occupations(by_occupation: DataFrame) -> DataFrame:
+    names = {"cbo_familia": "cbo_family", "cbo_codigo": "cbo_code"}
+    return _serve(by_occupation, occupation_problem(), {**names, **_METRICS})
+
+
+def serving_municipalities(by_municipality: DataFrame) -> DataFrame:
+    names = {
+        "municipio_codigo_caged": "municipality_code", "municipio_codigo_ibge": "municipality_ibge_code",
+        "municipio_nome": "municipality_name", "uf": "uf",
+    }
     places = ["population_estimate", "population_reference_year", *[f"{c}_per_100k" for c in COUNTS]]
-    return ServingTables(
-        release=_serve(release, release_problem(), {**{c: c for c in others}, **metrics}),
-        uf=_serve(by_uf.withColumn("uf", F.upper("uf")), state_problem(), {"uf": "uf", **metrics}),
-        occupation=_serve(
-            by_occupation, occupation_problem(), {"cbo_familia": "cbo_family", "cbo_codigo": "cbo_code", **metrics}
-        ),
-        municipality=_serve(
-            by_municipality,
-            municipality_problem(),
-            {
-                "municipio_codigo_caged": "municipality_code", "municipio_codigo_ibge": "municipality_ibge_code",
-                "municipio_nome": "municipality_name", "uf": "uf", **metrics, **{c: c for c in places},
-            },
-        ),
-    )
+    return _serve(by_municipality, municipality_problem(), {**names, **_METRICS, **{c: c for c in places}})
 
 
 def load_serving(spark: SparkSession, tables: ServingTables, root: str, gates: DataFrame) -> None:

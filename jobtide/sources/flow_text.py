@@ -17,10 +17,10 @@ def read_flow_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     A line with too few or too many fields fails the job. Column pruning is off because a pruned parse does not
     look at the fields it skips and would let such a line through.
     """
-    return spark.read.csv(
-        paths, sep=";", header=True, inferSchema=False, mode="FAILFAST", escape='"', encoding="UTF-8",
-        columnPruning=False,
+    reader = spark.read.options(
+        sep=";", header=True, inferSchema=False, mode="FAILFAST", escape='"', encoding="UTF-8", columnPruning=False
     )
+    return reader.csv(paths)
 
 
 def missing_headers(columns: list[str], required: set[str] = FLOW_REQUIRED_HEADERS) -> list[str]:
