@@ -21,9 +21,9 @@ def _to_double(col: Column) -> Column:
 def brazilian_number(col: Column) -> Column:
     """``1.234,56`` and ``1234.56`` are both 1234.56: dots are thousands marks only when there is a comma.
 
-    Only the first comma becomes the decimal mark, so a text with two commas does not parse.
+    A text with two commas is not a number.
     """
-    with_comma = F.regexp_replace(F.regexp_replace(col, r"\.", ""), "^([^,]*),", "$1.")
+    with_comma = F.translate(col, ",.", ".")
     return _to_double(F.when(F.contains(col, F.lit(",")), with_comma).otherwise(col))
 
 

@@ -13,12 +13,13 @@ def per_100k(count: Column, population: Column) -> Column:
 
 def share(part: Column, total: Column, places: int = 8) -> Column:
     """Share to ``places`` decimals, 0.0 on an empty total."""
-    return F.when(total > 0, F.round(part / total, places)).otherwise(F.lit(0.0))
+    # The total is named once, so a scalar subquery given as total runs once.
+    return F.coalesce(F.round(part / F.nullif(total, F.lit(0)), places), F.lit(0.0))
 
 
 def plain_share(part: Column, total: Column) -> Column:
     """Unrounded share, 0.0 on an empty total."""
-    return F.when(total != 0, part / total).otherwise(F.lit(0.0))
+    return F.coalesce(part / F.nullif(total, F.lit(0)), F.lit(0.0))
 
 
 def per_100(count: Column, stock: Column) -> Column:

@@ -33,7 +33,7 @@ def snake_header(name: str) -> str:
 def _accent_table() -> tuple[str, str, list[tuple[str, str]]]:
     """Latin letters with their plain form, computed from the Unicode decomposition (U+00A0 to U+024F).
 
-    One-to-one pairs go to ``translate``; the few that expand to several letters go to ``replace``.
+    One-to-one pairs come as two texts for ``translate``; the few that expand to several letters as a list.
     """
     source, target, longer = [], [], []
     for point in range(0xA0, 0x250):
@@ -49,18 +49,26 @@ def _accent_table() -> tuple[str, str, list[tuple[str, str]]]:
     return "".join(source), "".join(target), longer
 
 
+def is_ascii(col: Column) -> Column:
+    """As many bytes as characters: no accents to look for. Cheaper than a pattern."""
+    return F.octet_length(col) == F.char_length(col)
+
+
 def strip_accents(col: Column) -> Column:
-    """Text without accents for Latin scripts, built-in functions only."""
+    """Text without accents for Latin scripts, built-in functions only. ASCII text is returned as it is."""
     source, target, longer = _accent_table()
-    out = F.translate(F.regexp_replace(col, r"\p{M}", ""), source, target)
-    for char, plain in longer:
-        out = F.replace(out, F.lit(char), F.lit(plain))
-    return out
+    plain = F.translate(F.regexp_replace(col, r"\p{M}", ""), source, target)
+    # The few letters that expand to several are rare: only a text that has one is walked letter by letter.
+    pairs = F.create_map(*[F.lit(part) for pair in longer for part in pair])
+    letters = F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(pairs, c), c))
+    rare = "[" + "".join(char for char, _ in longer) + "]"
+    return F.when(is_ascii(col), col).when(plain.rlike(rare), F.array_join(letters, "")).otherwise(plain)
 
 
 def comparable_value(col: Column) -> Column:
     """Value for comparison with a contract: no accents, lower case, single blanks, trimmed. Null becomes ``""``."""
-    folded = F.replace(F.lower(strip_accents(F.coalesce(col, F.lit("")))), F.lit("ß"), F.lit("ss"))
+    text = F.coalesce(col, F.lit(""))
+    folded = F.replace(F.lower(strip_accents(text)), F.lit("ß"), F.lit("ss"))
     return F.trim(F.regexp_replace(folded, _BLANKS + "+", " "))
 
 

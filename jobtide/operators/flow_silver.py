@@ -11,11 +11,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.fixed_values import OCCUPATION_FAMILIES, STATE_BY_CODE
+from jobtide.fixed_values import EFFECTIVE_MONTH_COLUMNS, OCCUPATION_FAMILIES, STATE_BY_CODE
 from jobtide.functions.codes import is_known_state, label_or_code, occupation_family
-from jobtide.functions.movement import adjustment_factor, delta_columns, effective_month, movement_label
+from jobtide.functions.movement import adjustment_factor, delta_columns, month_text, movement_label
 from jobtide.functions.numbers import brazilian_number, lenient_smallint
 from jobtide.functions.text import digits_only
+from jobtide.operators.joins import evaluate_once
 
 FLAGS = ["erro_uf", "erro_cbo", "erro_saldo", "erro_salario"]
 
@@ -62,19 +63,24 @@ def validity_flags(labels: Mapping[str, str] = STATE_BY_CODE, null_flags: str =
     code, salary = F.col("cbo_codigo"), F.col("salario_mensal")
     return {
         "erro_uf": F.coalesce(~is_known_state(F.col("uf"), labels), unknown),
-        "erro_cbo": code.isNull() | (F.length(code) < 4),
+        "erro_cbo": F.coalesce(F.length(code) < 4, F.lit(True)),
         "erro_saldo": F.coalesce(~F.col("saldo_movimentacao").isin(-1, 1), unknown),
-        "erro_salario": salary.isNotNull() & (salary < 0),
+        "erro_salario": F.coalesce(salary < 0, F.lit(False)),
     }
 
 
 def effective_month_by_kind(columns: list[str]) -> Column:
-    ingest = F.col("ingest_competence")
-    return (
-        F.when(F.col("file_kind") == "FOR", effective_month(columns, "FOR", ingest))
-        .when(F.col("file_kind") == "EXC", effective_month(columns, "EXC", ingest))
-        .otherwise(ingest)
-    )
+    """:func:`effective_month` for rows of mixed kinds. Base rows belong to the month they were ingested for."""
+    candidates = dict.fromkeys(name for names in EFFECTIVE_MONTH_COLUMNS.values() for name in names)
+    months = [
+        F.when(
+            F.col("file_kind").isin([k for k, names in EFFECTIVE_MONTH_COLUMNS.items() if name in names]),
+            month_text(F.col(name)),
+        )
+        for name in candidates
+        if name in columns
+    ]
+    return F.coalesce(*months, F.col("ingest_competence"))
 
 
 def flow_silver(
@@ -85,7 +91,7 @@ def flow_silver(
     flagged = typed.withColumns(validity_flags(labels, null_flags))
     invalid = F.col(FLAGS[0]) | F.col(FLAGS[1]) | F.col(FLAGS[2]) | F.col(FLAGS[3])
     deltas = delta_columns(F.col("saldo_movimentacao"), adjustment_factor(F.col("file_kind")))
-    return flagged.withColumns(
+    silver = flagged.withColumns(
         {
             "registro_invalido": invalid,
             "effective_competence": effective_month_by_kind(rows.columns),
@@ -93,6 +99,7 @@ def flow_silver(
             "adjustment_kind": F.col("file_kind"),
         }
     )
+    return evaluate_once(silver)
 
 
 def route_flow(silver: DataFrame, families: Iterable[str] = tuple(OCCUPATION_FAMILIES)) -> RoutedFlow:

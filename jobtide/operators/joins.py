@@ -1,4 +1,4 @@
-"""Join helpers. No join here is forced to broadcast: Spark broadcasts a side only when its measured size is below
+"""Plan helpers. No join here is forced to broadcast: Spark broadcasts a side only when its measured size is below
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges, splitting skewed partitions (AQE)."""
 
 from __future__ import annotations
@@ -28,3 +28,13 @@ def one_sided_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     b = right.select(key).distinct().withColumn("in_right", F.lit(True))
     both = a.join(b, key, "full_outer").where("in_left is null or in_right is null")
     return both.select(key, F.when(F.col("in_left"), F.lit("left")).otherwise(F.lit("right")).alias("side"))
+
+
+def evaluate_once(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The same rows, with a boundary that filters above do not cross.
+
+    Spark moves a filter on derived columns below the projection that derives them, and then evaluates each parsing
+    expression again wherever the filter mentions it. A one-element ``inline`` stops that: all columns are computed
+    once per row, still inside generated code, and the filter reads the results. ``keep`` limits the columns.
+    """
+    return df.select(F.inline(F.array(F.struct(*(keep or df.columns)))))

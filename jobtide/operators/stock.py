@@ -24,6 +24,7 @@ from jobtide.fixed_values import (
 from jobtide.functions.codes import literal_map, municipality_code, occupation_code, occupation_family, state_of_municipality
 from jobtide.functions.rates import share
 from jobtide.functions.text import comparable_value
+from jobtide.operators.joins import evaluate_once
 
 
 @dataclass(frozen=True)
@@ -89,7 +90,8 @@ def stock_silver(
         .when(active.isin(*contract.inactive), F.lit("inactive"))
         .otherwise(F.lit("unknown"))
     )
-    return coded.withColumn("reasons", reasons).withColumns({"status": status, "source_status": source_status})
+    routed = coded.withColumn("reasons", reasons).withColumns({"status": status, "source_status": source_status})
+    return evaluate_once(routed)
 
 
 _RAW = ["cbo_raw", "municipio_raw", "active_raw", "abandoned_raw"]
