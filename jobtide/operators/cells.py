@@ -16,15 +16,16 @@ def cell_codes(cells: DataFrame) -> DataFrame:
     return cells.select("sheet", "col", code.alias("code")).where("code is not null")
 
 
-def join_columns(cells: DataFrame, expected: DataFrame) -> DataFrame:
-    """Columns that hold expected codes: per sheet and column the number of distinct codes, sorted codes and header.
+def join_columns(cells: DataFrame, expected: DataFrame, list_codes: bool = True) -> DataFrame:
+    """Columns that hold expected codes: per sheet and column the number of distinct codes, the header and, with
+    ``list_codes``, the sorted codes themselves.
 
-    The codes found are first made distinct per column; the expected list bounds each column's list.
+    Codes are made distinct per column first. Each list is at most as long as ``expected``; ask for it only when that
+    is a code table, not data.
     """
     found = cell_codes(cells).distinct().join(expected.select("code").distinct(), "code", "left_semi")
-    columns = found.groupBy("sheet", "col").agg(
-        F.count(F.lit(1)).alias("matched_count"), F.sort_array(F.collect_list("code")).alias("matched_codes")
-    )
+    listed = [F.sort_array(F.collect_list("code")).alias("matched_codes")] if list_codes else []
+    columns = found.groupBy("sheet", "col").agg(F.count(F.lit(1)).alias("matched_count"), *listed)
     headers = cells.where("row = 1").groupBy("sheet", "col").agg(F.max(F.trim("value")).alias("header"))
     return columns.join(headers, ["sheet", "col"], "left")
 

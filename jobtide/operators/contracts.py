@@ -61,6 +61,16 @@ def concept_columns(matches: DataFrame) -> dict[str, dict[str, str]]:
     return out
 
 
+LISTED_VALUES = 50
+
+
+def _listed(values: DataFrame) -> Column:
+    """The first values in order, as a sorted array. Every task keeps ``LISTED_VALUES`` of them, so a column full of
+    distinct values is never gathered."""
+    first = values.distinct().orderBy(values.columns[0]).limit(LISTED_VALUES)
+    return first.agg(F.sort_array(F.collect_list(values.columns[0]))).scalar()
+
+
 def binary_value_contract(
     counts: DataFrame,
     positive: Iterable[str],
@@ -71,26 +81,26 @@ def binary_value_contract(
     """Check the observed values of a two-valued column.
 
     ``counts`` has (value, n), one row per distinct raw value. The result is one row: the sorted values seen in each
-    class, the number of blanks and ``valid``, which asks for both classes, no unknown value and no blank.
+    class, the first unknown values and how many unknown values there are, the number of blanks, and ``valid``, which
+    asks for both classes, no unknown value and no blank.
     """
     positive, negative = list(positive), list(negative)
-    value = comparable_value(F.col("value"))
-    seen = counts.select(value.alias("v"), "n")
+    seen = counts.select(comparable_value(F.col("value")).alias("v"), "n")
     blank = F.col("v") == ""
-    known = F.col("v").isin(positive + negative)
+    unknown = ~blank & ~F.col("v").isin(positive + negative)
 
-    def distinct(condition: Column) -> Column:
-        return F.sort_array(F.collect_set(F.when(condition, F.col("v"))))
+    def seen_of(accepted: list[str]) -> Column:
+        return F.sort_array(F.collect_set(F.when(F.col("v").isin(accepted), F.col("v"))))
 
     result = seen.agg(
-        distinct(F.col("v").isin(positive)).alias("positive_observed"),
-        distinct(F.col("v").isin(negative)).alias("negative_observed"),
-        distinct(~blank & ~known).alias("unknown_values"),
+        seen_of(positive).alias("positive_observed"),
+        seen_of(negative).alias("negative_observed"),
+        F.count_distinct(F.when(unknown, F.col("v"))).alias("unknown_count"),
         F.coalesce(F.sum(F.when(blank, F.col("n"))), F.lit(0)).alias("blank_values"),
-    )
+    ).withColumn("unknown_values", _listed(seen.where(unknown).select("v")))
     valid = (F.size("positive_observed") > 0) & (F.size("negative_observed") > 0)
     if reject_unknown:
-        valid &= F.size("unknown_values") == 0
+        valid &= F.col("unknown_count") == 0
     if reject_blank:
         valid &= F.col("blank_values") == 0
     return result.withColumn("valid", valid)
@@ -98,8 +108,9 @@ def binary_value_contract(
 
 def year_contract(values: DataFrame, year: int) -> DataFrame:
     """The observed years are exactly the requested one."""
-    observed = F.sort_array(F.collect_set(comparable_value(F.col("value")))).alias("observed")
-    return values.agg(observed).withColumn("valid", F.col("observed") == F.array(F.lit(str(year))))
+    seen = values.select(comparable_value(F.col("value")).alias("v"))
+    same = F.coalesce(F.bool_and(F.col("v") == str(year)), F.lit(False))
+    return seen.agg(same.alias("valid")).withColumn("observed", _listed(seen))
 
 
 def municipality_dimension_check(codes: DataFrame, dimension: DataFrame) -> DataFrame:

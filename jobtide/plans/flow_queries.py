@@ -260,12 +260,19 @@ def rank_within_state(spark, sf_dir):
     return analytics.rank_within(sums, "uf", "saldo", "cbo_familia")
 
 
+# A territory without movements has zero totals, as the sum over an empty list has.
+_TERRITORY = ", ".join(
+    f"CAST(COALESCE(SUM({short}), 0) AS BIGINT) AS {name}"
+    for short, name in (("adm", "admissions"), ("dis", "dismissals"), ("bal", "balance"))
+)
+
+
 @query(
     "territory_comparison",
     f"""WITH {FLOW}, x AS (
-      SELECT 'BR' AS key, 'Country' AS label, {COUNTS} FROM f
-      UNION ALL SELECT 'RG', 'Asia', {COUNTS} FROM f WHERE region = 'ASIA'
-      UNION ALL SELECT 'ST', 'Nation 2', {COUNTS} FROM f WHERE uf = 'NATION_2'),
+      SELECT 'BR' AS key, 'Country' AS label, {_TERRITORY} FROM f
+      UNION ALL SELECT 'RG', 'Asia', {_TERRITORY} FROM f WHERE region = 'ASIA'
+      UNION ALL SELECT 'ST', 'Nation 2', {_TERRITORY} FROM f WHERE uf = 'NATION_2'),
     m AS (SELECT MAX(admissions) FILTER (key = 'BR') AS br, MAX(admissions) FILTER (key = 'RG') AS rg,
                  MAX(admissions) FILTER (key = 'ST') AS st FROM x)
     SELECT key, label, admissions, dismissals, balance, round(admissions / br, 6) AS share_national_admissions,

@@ -198,7 +198,7 @@ def dimension_check(spark, sf_dir):
 @query(
     "value_contract",
     f"""WITH {STOCK} SELECT '1' AS positive_observed, '0' AS negative_observed, string_agg(DISTINCT lower(st), ',') FILTER (st = 'P') AS unknown_values,
-      CAST(0 AS BIGINT) AS blank_values, COUNT(*) FILTER (st = 'P') = 0 AS valid FROM s""",
+      COUNT(DISTINCT st) FILTER (st = 'P') AS unknown_count, CAST(0 AS BIGINT) AS blank_values, COUNT(*) FILTER (st = 'P') = 0 AS valid FROM s""",
 )
 def value_contract(spark, sf_dir):
     counts = quality.value_counts(binding.stock_raw(spark, sf_dir), ["active_raw"])

@@ -9,7 +9,8 @@ def spark():
     session = (
         SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]")
         .appName("jobtide-tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
