@@ -62,7 +62,7 @@ def strip_accents(col: Column) -> Column:
     pairs = F.create_map(*[F.lit(part) for pair in longer for part in pair])
     letters = F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(pairs, c), c))
     rare = "[" + "".join(char for char, _ in longer) + "]"
-    return F.when(is_ascii(col), col).when(plain.rlike(rare), F.array_join(letters, "")).otherwise(plain)
+    return F.when(is_ascii(col), col).when(col.rlike(rare), F.array_join(letters, "")).otherwise(plain)
 
 
 def comparable_value(col: Column) -> Column:

@@ -86,12 +86,15 @@ def effective_month_by_kind(columns: list[str]) -> Column:
 def flow_silver(
     rows: DataFrame, labels: Mapping[str, str] = STATE_BY_CODE, null_flags: str = "reject"
 ) -> DataFrame:
-    """All rows, typed and flagged, with deltas, effective month and kind. Evaluate once, then :func:`route_flow`."""
+    """All rows, typed and flagged, with deltas, effective month and kind.
+
+    Reports aggregate this frame directly and prune what they do not read; :func:`route_flow` splits it.
+    """
     typed = typed_flow(rows, labels)
     flagged = typed.withColumns(validity_flags(labels, null_flags))
     invalid = F.col(FLAGS[0]) | F.col(FLAGS[1]) | F.col(FLAGS[2]) | F.col(FLAGS[3])
     deltas = delta_columns(F.col("saldo_movimentacao"), adjustment_factor(F.col("file_kind")))
-    silver = flagged.withColumns(
+    return flagged.withColumns(
         {
             "registro_invalido": invalid,
             "effective_competence": effective_month_by_kind(rows.columns),
@@ -99,15 +102,18 @@ def flow_silver(
             "adjustment_kind": F.col("file_kind"),
         }
     )
-    return evaluate_once(silver)
 
 
-def route_flow(silver: DataFrame, families: Iterable[str] = tuple(OCCUPATION_FAMILIES)) -> RoutedFlow:
-    """Split flagged rows. The three frames are filters over one frame: write it once (``materialize``) and the
-    filters prune it, instead of parsing the text three times."""
-    valid = silver.where(~F.col("registro_invalido"))
+def route_flow(
+    silver: DataFrame, families: Iterable[str] = tuple(OCCUPATION_FAMILIES), stored: bool = False
+) -> RoutedFlow:
+    """Split flagged rows. The three frames are filters over one frame: a pipeline stores that frame first, and the
+    filters then prune the table instead of parsing the text three times. ``stored`` says that ``silver`` is such a
+    table: its filters go down to the scan."""
+    rows = silver if stored else evaluate_once(silver)
+    valid = rows.where(~F.col("registro_invalido"))
     return RoutedFlow(
         scope=valid.where(F.col("cbo_familia").isin(sorted(families))),
         valid=valid,
-        rejected=silver.where(F.col("registro_invalido")),
+        rejected=rows.where(F.col("registro_invalido")),
     )

@@ -90,19 +90,20 @@ def stock_silver(
         .when(active.isin(*contract.inactive), F.lit("inactive"))
         .otherwise(F.lit("unknown"))
     )
-    routed = coded.withColumn("reasons", reasons).withColumns({"status": status, "source_status": source_status})
-    return evaluate_once(routed)
+    return coded.withColumn("reasons", reasons).withColumns({"status": status, "source_status": source_status})
 
 
 _RAW = ["cbo_raw", "municipio_raw", "active_raw", "abandoned_raw"]
 
 
-def route_stock(silver: DataFrame, year: int) -> RoutedStock:
-    scope = silver.where("status = 'scope'").select(
+def route_stock(silver: DataFrame, year: int, stored: bool = False) -> RoutedStock:
+    """Scope and rejects. ``stored`` says that ``silver`` was read back from a table, so its filters go to the scan."""
+    rows = silver if stored else evaluate_once(silver)
+    scope = rows.where("status = 'scope'").select(
         F.lit(year).cast("smallint").alias("year"),
         "cbo_codigo", "cbo_familia", "municipio_codigo", "uf", F.lit(True).alias("active_3112"), "source_file",
     )
-    rejected = silver.where("status = 'rejected'").select(
+    rejected = rows.where("status = 'rejected'").select(
         "source_file",
         F.lit(str(year)).alias("year_context"),
         "cbo_raw",

@@ -27,7 +27,7 @@ def build_stock_silver(
     raw = read_stock_text(spark, inspect_layouts(spark, directory))
     write_table(stock.stock_silver(raw, contract, families), f"{root}/rows", ["status"])
     rows = read_table(spark, f"{root}/rows")
-    routed = stock.route_stock(rows, year)
+    routed = stock.route_stock(rows, year, stored=True)
     write_table(routed.scope, f"{root}/scope")
     write_table(routed.rejected, f"{root}/rejects")
     write_table(stock.with_stock_identities(stock.stock_counters(rows, ["source_file"])), f"{root}/parts")

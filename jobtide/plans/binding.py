@@ -13,7 +13,6 @@ from jobtide.functions.codes import state_of_municipality
 from jobtide.functions.movement import adjustment_factor, delta_columns
 from jobtide.functions.periods import month_of
 from jobtide.functions.salary import ELIGIBLE, salary_eligible
-from jobtide.operators.joins import evaluate_once
 
 FAMILIES = [f"Brand#{i}" for i in range(1, 26)]
 SALARY_BOUNDS = (9000.0, 99000.0)
@@ -85,7 +84,7 @@ def flow_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     local = F.translate(F.format_number("l_extendedprice", 2), ",.", ".,")
     plain = F.format_string("%.2f", F.col("l_extendedprice"))
     brand = F.lpad(F.regexp_replace("p_brand", r"\D", ""), 2, "0")
-    text = rows.select(
+    return rows.select(
         month_of(F.col("l_shipdate")).alias("competênciamov"),
         F.when(F.col("s_acctbal") > 9500, F.lit("N/A"))
         .when(F.col("s_acctbal") < 0, F.lit("99"))
@@ -110,7 +109,6 @@ def flow_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         _kind().alias("file_kind"),
         month_of(F.col("l_shipdate")).alias("ingest_competence"),
     )
-    return evaluate_once(text)
 
 
 def stock_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +122,7 @@ def stock_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     digit, tail = F.substring("o_orderpriority", 1, 1), F.substring(F.lpad(F.col("o_orderkey").cast("string"), 12, "0"), 11, 2)
     urgent, high = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "2-HIGH"
     place = municipality_of_customer("o_custkey")
-    text = rows.select(
+    return rows.select(
         F.coalesce("r_name", F.lit("NI")).alias("source_file"),
         F.when(F.col("o_orderstatus") == "O", F.lit("1")).when(F.col("o_orderstatus") == "F", F.lit(" 0 "))
         .otherwise(F.col("o_orderstatus")).alias("active_raw"),
@@ -141,7 +139,6 @@ def stock_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(urgent, F.lit("0,00")).otherwise(F.translate(F.format_number("o_totalprice", 2), ",.", ".,"))
         .alias("rem_dec_raw"),
     )
-    return evaluate_once(text)
 
 
 def municipality_of_customer(key: str) -> Column:

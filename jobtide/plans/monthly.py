@@ -64,7 +64,8 @@ def build_reports(spark: SparkSession, root: str, settings: MonthlySettings) ->
 
 def gold_of(silver: DataFrame, settings: MonthlySettings) -> DataFrame:
     """All published groupings of all months with a base file, in one scan of the scope rows."""
-    scope = route_flow(silver, settings.families).scope
+    valid = silver.where("row_status = 'valid'")
+    scope = route_flow(valid, settings.families, stored=True).scope
     month = F.col("effective_competence")
     eligible = with_salary_eligibility(flow_gold.rows_with_base(scope), settings.salary, month)
     tables = flow_gold.group_tables(eligible, common=["effective_competence"])

@@ -10,6 +10,7 @@ from jobtide.functions.numbers import brazilian_number, dotted_thousands_number
 from jobtide.functions.periods import month_of, month_start, next_month, quarter_key
 from jobtide.functions.text import comparable_value, snake_header_column
 from jobtide.operators import cells, contracts, flow_silver, quality, stock
+from jobtide.operators.joins import evaluate_once
 from jobtide.plans import binding
 from jobtide.plans.oracle_sql import STOCK, TEXT
 from jobtide.plans.registry import query
@@ -18,9 +19,14 @@ from jobtide.sources import csv_export, flow_text, layout
 _TECH = sorted(OCCUPATION_FAMILIES)
 
 
-def silver(spark, sf_dir):
-    """All movements through the text path: header names, null words, typing, flags."""
+def silver(spark, sf_dir, whole=False):
+    """All movements through the text path: header names, null words, typing, flags.
+
+    With ``whole`` the text columns are built once for every row, as if they came from a file; a query that filters on
+    parsed columns asks for it, one that aggregates a few columns does not.
+    """
     raw = binding.flow_text_rows(spark, sf_dir)
+    raw = evaluate_once(raw) if whole else raw
     context = ["file_kind", "ingest_competence"]
     names = flow_text.flow_names([c for c in raw.columns if c not in context])
     return flow_silver.flow_silver(raw.select(*flow_text.named_columns(names), *context))
@@ -99,7 +105,7 @@ def flow_null_flags_as_read(spark, sf_dir):
     FROM q WHERE tech GROUP BY ALL""",
 )
 def flow_scope_rows(spark, sf_dir):
-    scope = flow_silver.route_flow(silver(spark, sf_dir)).scope
+    scope = flow_silver.route_flow(silver(spark, sf_dir, whole=True)).scope
     keys = ["uf", "cbo_codigo", "cbo_familia", "movimento", "adjustment_kind", "effective_competence"]
     return scope.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"),

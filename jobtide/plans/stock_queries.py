@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from jobtide.fixed_values import OCCUPATION_FAMILIES
 from jobtide.functions.numbers import dotted_thousands_number
 from jobtide.operators import analytics, contracts, gates, quality, stock
+from jobtide.operators.joins import evaluate_once
 from jobtide.plans import binding
 from jobtide.plans.oracle_sql import COUNTERS, COUNTS, FLOW, PLACES, STOCK
 from jobtide.plans.registry import query
@@ -18,8 +19,14 @@ def _silver(spark, sf_dir):
     return stock.stock_silver(binding.stock_raw(spark, sf_dir))
 
 
+def _routed(spark, sf_dir):
+    """Text columns built once per row, as a file scan would give them, then routed."""
+    raw = evaluate_once(binding.stock_raw(spark, sf_dir))
+    return stock.route_stock(stock.stock_silver(raw), YEAR)
+
+
 def _scope(spark, sf_dir):
-    return stock.route_stock(_silver(spark, sf_dir), YEAR).scope
+    return _routed(spark, sf_dir).scope
 
 
 @query(
@@ -83,9 +90,8 @@ def stock_municipality_topk(spark, sf_dir):
       round(COUNT(*) FILTER (tech) / COUNT(*) FILTER (active), 6) AS share_tech_of_national_active FROM s""",
 )
 def stock_overview(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
-    national = silver.agg(F.count_if(F.col("status").isin("scope", "out_of_scope"))).scalar()
-    return stock.stock_overview(stock.route_stock(silver, YEAR).scope, national)
+    national = _silver(spark, sf_dir).agg(F.count_if(F.col("status").isin("scope", "out_of_scope"))).scalar()
+    return stock.stock_overview(_scope(spark, sf_dir), national)
 
 
 @query(
@@ -100,7 +106,8 @@ def stock_guard(spark, sf_dir):
 
 @query("unknown_families", f"WITH {STOCK} SELECT DISTINCT fam AS cbo_familia FROM s WHERE active AND fam NOT IN ('2122','2123','2124')")
 def unknown_families(spark, sf_dir):
-    active = _silver(spark, sf_dir).where(F.col("status").isin("scope", "out_of_scope"))
+    raw = evaluate_once(binding.stock_raw(spark, sf_dir))
+    active = evaluate_once(stock.stock_silver(raw)).where(F.col("status").isin("scope", "out_of_scope"))
     known = spark.createDataFrame([(code,) for code in OCCUPATION_FAMILIES], "cbo_familia string")
     return stock.unknown_families(active, known)
 
@@ -113,7 +120,7 @@ def unknown_families(spark, sf_dir):
       FROM s WHERE bad GROUP BY ALL""",
 )
 def reject_routing(spark, sf_dir):
-    rejected = stock.route_stock(_silver(spark, sf_dir), YEAR).rejected
+    rejected = _routed(spark, sf_dir).rejected
     return rejected.groupBy("source_file", "reason", "uf_derived").agg(F.count(F.lit(1)).alias("rows"))
 
 
