@@ -41,10 +41,14 @@ def contributing_rows(base: DataFrame, adjustments: list[DataFrame], month: str)
     return out
 
 
-def rows_with_base(silver: DataFrame) -> DataFrame:
-    """All months at once: adjustments count only for months whose base (MOV) rows are present."""
-    base_months = silver.where("adjustment_kind = 'MOV'").select("effective_competence").distinct()
-    return silver.join(base_months, "effective_competence", "left_semi")
+def rows_with_base(silver: DataFrame, base_months: DataFrame | None = None) -> DataFrame:
+    """All months at once: adjustments count only for months whose base (MOV) file is present.
+
+    ``base_months`` lists those months as ``effective_competence``; without it they are the months of the base rows.
+    """
+    if base_months is None:
+        base_months = silver.where("adjustment_kind = 'MOV'").select("effective_competence")
+    return silver.join(base_months.select("effective_competence").distinct(), "effective_competence", "left_semi")
 
 
 # ---------------------------------------------------------------------------------------------------------------

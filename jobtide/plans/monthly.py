@@ -66,8 +66,10 @@ def gold_of(silver: DataFrame, settings: MonthlySettings) -> DataFrame:
     """All published groupings of all months with a base file, in one scan of the scope rows."""
     valid = silver.where("row_status = 'valid'")
     scope = route_flow(valid, settings.families, stored=True).scope
-    month = F.col("effective_competence")
-    eligible = with_salary_eligibility(flow_gold.rows_with_base(scope), settings.salary, month)
+    # A base file without scope rows still makes its month a base month; this reads partition names only.
+    base = silver.where("file_kind = 'MOV'").select(F.col("ingest_competence").alias("effective_competence"))
+    rows = flow_gold.rows_with_base(scope, base)
+    eligible = with_salary_eligibility(rows, settings.salary, F.col("effective_competence"))
     tables = flow_gold.group_tables(eligible, common=["effective_competence"])
     return tables.withColumnRenamed("effective_competence", "competence")
 

@@ -200,3 +200,18 @@ def test_municipality_and_population(rows):
     assert (city.admissions_per_100k, city.dismissals_per_100k, city.balance_per_100k) == (4.0, 3.2, 0.8)
     assert (got["999999"].municipio_nome, got["999999"].uf, got["999999"].admissions_per_100k) == ("Não identificado", "NI", None)
     assert got["111111"].municipio_nome is None and got["111111"].population_estimate is None
+
+
+def test_base_file_without_scope_rows(spark, tmp_path):
+    """A month whose base file has no row in scope still takes its late rows; an earlier year without base waits."""
+    other = HEADER + "202607;23;230440;1;513440;10;1900,00;0\n"
+    header = HEADER.replace("\n", ";Competência Dec\n")
+    late = header + "202607;23;230440;1;212405;10;4500,00;0;202608\n201912;23;230440;1;212405;10;4500,00;0;202608\n"
+    files = [
+        MonthlyFile(write(tmp_path, "mov7.txt", other), "202607"),
+        MonthlyFile(write(tmp_path, "for8.txt", late), "202608", "FOR"),
+    ]
+    root, settings = str(tmp_path / "out"), MonthlySettings(families={"2124": "a"})
+    build_silver(spark, files, root, settings)
+    rows = flow_gold.grain_of(build_gold(spark, root, settings), "overview", ["competence"]).collect()
+    assert [(r.competence, r.admissions, r.salary_median_admissions) for r in rows] == [("202607", 1, 4500.0)]
