@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,14 +59,16 @@ def union_parts(parts: list[DataFrame]) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """Fresh path in the shared folder the cluster names in ``spark.checkpoint.dir``.
+    """Fresh path in a folder that driver and executors share; it is removed when the driver ends.
 
-    A local temporary folder is used only where the setting is absent, as in single-machine tests.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``, else the warehouse, which is shared too. A
+    machine-local temporary folder is never used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = os.path.join(tempfile.gettempdir(), "jobtide-scratch")
-    return f"{root.rstrip('/')}/jobtide-{label}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/jobtide-{label}-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
 
 
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

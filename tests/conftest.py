@@ -5,7 +5,7 @@ from pyspark.sql import SparkSession
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]")
         .appName("jobtide-tests")
@@ -13,6 +13,7 @@ def spark():
         .config("spark.default.parallelism", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tmp_path_factory.mktemp("shared").as_uri())
         .config("spark.driver.memory", "6g")
         .getOrCreate()
     )
