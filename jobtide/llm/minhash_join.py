@@ -21,6 +21,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from jobtide.llm.components import components
@@ -31,6 +32,8 @@ from jobtide.llm.shingles import shingle_sets, signature
 # it has 36 or more with the same odds.
 COORDINATES, MATCHES, RING_MATCHES = 128, 72, 36
 LEAST_PERCENT = 75
+#: Pivots of a list from the second round on.
+LATER_PIVOTS = 16
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -104,6 +107,15 @@ def short_lists(nodes: DataFrame, coordinates: int = COORDINATES, matches: int =
     return kept.select(F.col("list.key").alias("key"), "node")
 
 
+def _pivots(lists: DataFrame, count: int) -> DataFrame:
+    """``key``, ``pivot``: ``count`` nodes of each list, those first that no earlier pivot has settled."""
+    order = F.struct(F.col("label").isNotNull().alias("settled"), F.xxhash64("node").alias("h"), F.col("node").alias("pivot"))
+    if count == 1:
+        return lists.groupBy("key").agg(F.min(order).alias("p")).select("key", "p.pivot")
+    rank = F.row_number().over(W.partitionBy("key").orderBy("p"))
+    return lists.select("key", order.alias("p")).withColumn("rank", rank).where(F.col("rank") <= count).select("key", "p.pivot")
+
+
 def links(texts: DataFrame, signed: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, least: int = LEAST_PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES, ring: int = RING_MATCHES) -> DataFrame:
     """Links ``a``, ``b`` between nodes that join every two nodes that are linked directly or over others.
 
@@ -118,27 +130,28 @@ def links(texts: DataFrame, signed: DataFrame, text: str = "text", key: str = "d
     one = body.groupBy("c.node").agg(F.first("t.text").alias("text")).join(classes, "node").select("node", "signature", "text")
     sets = stored(map_arrow(one, partial(_shingled, width=width), "node bigint, signature binary, shingles binary"), "near-sets")
     reach = 100 - least
+    linked = F.coalesce(100 * F.col("common") >= least * F.col("united"), F.lit(False))
+    distance = 100.0 - 100.0 * F.coalesce(F.col("common") / F.col("united"), F.lit(0.0))
     found: list[DataFrame] = []
+    count = 1  # one pivot first: it settles the dense lists; what is left is uneven and gets several at once
     while not lists.isEmpty():
-        # The pivot is a node that no earlier pivot of this list has settled.
-        pivots = stored(lists.groupBy("key").agg(F.min(F.struct(F.col("label").isNotNull().alias("settled"), F.xxhash64("node").alias("h"), F.col("node").alias("pivot"))).alias("p")).select("key", "p.pivot"), "near-pivots")
-        met = lists.join(pivots, "key").where("node <> pivot")
-        pairs = met.select("pivot", "node").distinct()
+        met = stored(lists.join(_pivots(lists, count), "key").where("node <> pivot"), "near-met")
         first = sets.select(F.col("node").alias("pivot"), F.col("signature").alias("sig_a"), F.col("shingles").alias("set_a"))
         second = sets.select("node", F.col("signature").alias("sig_b"), F.col("shingles").alias("set_b"))
-        compared = stored(map_arrow(pairs.join(first, "pivot").join(second, "node"), partial(_similarity, matches=min(ring, matches)), "pivot bigint, node bigint, common bigint, united bigint"), "near-compared")
-        linked = F.coalesce(100 * F.col("common") >= least * F.col("united"), F.lit(False))
+        pairs = met.select("pivot", "node").distinct().join(first, "pivot").join(second, "node")
+        compared = stored(map_arrow(pairs, partial(_similarity, matches=min(ring, matches)), "pivot bigint, node bigint, common bigint, united bigint"), "near-compared")
         found.append(compared.where(linked).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
-        near = met.join(compared, ["pivot", "node"], "left").withColumn("linked", linked).withColumn("distance", 100.0 - 100.0 * F.coalesce(F.col("common") / F.col("united"), F.lit(0.0)))
+        near = met.join(compared, ["pivot", "node"], "left").withColumn("linked", linked).withColumn("distance", distance)
         near = stored(near.select("key", "pivot", "node", "label", "linked", "distance"), "near-lists")
-        # A linked node stays only where an unlinked one is within reach of it.
-        per_list = stored(near.groupBy("key").agg(F.min(F.when(~F.col("linked"), F.col("distance"))).alias("nearest")).where("nearest IS NOT NULL"), "near-open")
-        open_rows = near.join(per_list, "key").where(~F.col("linked") | (F.col("nearest") - F.col("distance") <= reach + 1e-6))
-        labelled = open_rows.select("key", "node", F.when(F.col("linked"), F.col("pivot")).otherwise(F.col("label")).alias("label"))
-        labelled = stored(labelled, "near-lists")
-        unsettled = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("settled"), F.min("label").alias("low"), F.max("label").alias("high"))
-        alive = stored(unsettled.where("n > 1 AND (settled < n OR low < high)").select("key"), "near-open")
-        lists = stored(labelled.join(alive, "key", "left_semi"), "near-lists")
+        # A node stays unless some pivot it is linked to has no unlinked node of the list within reach of it. Pivots go.
+        nearest = near.groupBy("key", "pivot").agg(F.min(F.when(~F.col("linked"), F.col("distance"))).alias("nearest"))
+        settled = F.col("linked") & F.coalesce(F.col("nearest") - F.col("distance") > reach + 1e-6, F.lit(True))
+        used = near.select("key", F.col("pivot").alias("node")).distinct()
+        rest = near.join(nearest, ["key", "pivot"]).groupBy("key", "node").agg(F.bool_or(settled).alias("settled"), F.coalesce(F.min(F.when(F.col("linked"), F.col("pivot"))), F.first("label")).alias("label"))
+        rest = stored(rest.where("NOT settled").join(used, ["key", "node"], "left_anti").select("key", "node", "label"), "near-lists")
+        sizes = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("labels"), F.min("label").alias("low"), F.max("label").alias("high"))
+        lists = stored(rest.join(sizes.where("n > 1 AND (labels < n OR low < high)").select("key"), "key", "left_semi"), "near-lists")
+        count = LATER_PIVOTS
     every = texts.sparkSession.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
     for part in found:
         every = every.union(part)
