@@ -188,7 +188,7 @@ def gram_log_p(grams: DataFrame, order: int) -> DataFrame:
     return stored(every, "ppm-grams")
 
 
-def score(texts: DataFrame, held_out, key: str = "doc_id", text: str = "text", order: int = 4) -> DataFrame:
+def score(texts: DataFrame, held_out, key: str = "doc_id", text: str = "text", order: int = 5) -> DataFrame:
     """One row per input row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     ``held_out`` is a boolean column; rows where it is true are not learned from (null: learned from). Tokens are the words in
