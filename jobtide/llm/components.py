@@ -29,17 +29,17 @@ def components(links: DataFrame) -> DataFrame:
     """``node``, ``root`` (least node reachable) for every node that occurs in ``links`` (``a``, ``b``).
 
     Links may repeat, run either way or join a node to itself (which gives no row by itself). Each round points nodes at
-    the least node around them, so path lengths at least halve in effect; it ends when every link points at a root.
+    the least node around them, so path lengths at least halve in effect; it ends when all that is left are stars.
     Aggregates are pre-summed and joins are between stored tables, so a node with very many links is split.
     """
     now = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "component-links")
-    mark = None
     while True:
         large = stored(_to_least(_both_ways(now), upward=True), "component-links")
         now = stored(_to_least(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), upward=False), "component-links")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == mark:
+        # Done when all that is left are stars: each node has one link down, to a node without any.
+        forked = now.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
+        chained = now.join(now.select(F.col("b").alias("root")).distinct(), F.col("a") == F.col("root"), "left_semi").select("a")
+        if forked.union(chained).isEmpty():
             break
-        mark = seen
     roots = now.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
     return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
