@@ -13,7 +13,6 @@ from jobtide.functions.fingerprints import canonical_json, row_set_fingerprint
 from jobtide.operators.joins import missing_keys
 from jobtide.sources.tables import replace_partitions
 
-STRICT_FROM = "202609"
 
 
 def table_snapshot(table: DataFrame, name: str, month: str = "competence") -> DataFrame:
@@ -123,7 +122,7 @@ def require_passed_revision(evaluation: DataFrame) -> None:
     row = evaluation.collect()[0]
     if not row.passed:
         raise NotApprovedError("history revision did not pass its audit")
-    if row.ingest_competence >= STRICT_FROM and row.missing_rebuild_baselines:
+    if row.missing_rebuild_baselines:
         raise NotApprovedError("months lack base rows: " + ", ".join(row.missing_rebuild_baselines))
 
 
@@ -156,7 +155,7 @@ def apply_revision(evaluation: DataFrame, package: DataFrame, rebuilt: Mapping[s
         raise NotApprovedError(f"{conflict[0].file}: {conflict[0].reason}")
     for name, table in rebuilt.items():
         months = package.where(F.col("file") == name).select("competence").distinct()
-        replace_partitions(table.join(months, "competence", "left_semi"), paths[name], ["competence"])
+        replace_partitions(table.join(months, "competence", "left_semi"), paths[name], ["competence"], months)
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -177,10 +176,10 @@ def rebuild_months(
 ) -> DataFrame:
     """Recompute ``build`` for the touched months only; with ``path``, replace those months' partitions there.
 
-    ``silver`` is partitioned by effective month, so the semi-join prunes the scan to the touched partitions.
+    Late rows are stored under the month they came with, so all of ``silver`` that may hold them has to be scanned.
     """
     wanted = months.where("has_base").select(F.col("competence").alias("effective_competence"))
     rebuilt = build(silver.join(wanted, "effective_competence", "left_semi"))
     if path:
-        replace_partitions(rebuilt, path, ["competence"])
+        replace_partitions(rebuilt, path, ["competence"], months.where("has_base").select("competence"))
     return rebuilt

@@ -130,8 +130,9 @@ def load_serving(spark: SparkSession, tables: ServingTables, root: str, gates: D
         raise NotApprovedError(f"{blocked[0].competence:%Y%m} is not approved for serving")
     frames = [tables.release, tables.uf, tables.occupation, tables.municipality]
     for name, frame in zip(SERVING_TABLES, frames, strict=True):
-        replace_partitions(frame, f"{root}/{name}", ["competence"])
-        require_row_counts(spark, f"{root}/{name}", frame, "competence")
+        months = tables.release.select("competence").distinct()
+        replace_partitions(frame, f"{root}/{name}", ["competence"], months)
+        require_row_counts(spark, f"{root}/{name}", frame, "competence", months)
 
 
 def latest_release(release: DataFrame) -> DataFrame:

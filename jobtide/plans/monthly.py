@@ -45,7 +45,8 @@ def build_silver(spark: SparkSession, files: list[MonthlyFile], root: str, setti
     # A row whose validity is unknown (null_flags="reference") belongs to neither table and gets its own partition.
     status = F.when(F.col("registro_invalido"), F.lit("rejected")).when(~F.col("registro_invalido"), F.lit("valid"))
     stored = silver.withColumn("row_status", F.coalesce(status, F.lit("unknown")))
-    replace_partitions(stored, f"{root}/silver", ["ingest_competence", "file_kind", "row_status"])
+    months = spark.createDataFrame(sorted({(f.month,) for f in files}), "ingest_competence string")
+    replace_partitions(stored, f"{root}/silver", ["ingest_competence", "file_kind", "row_status"], months)
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
@@ -77,11 +78,12 @@ def gold_of(silver: DataFrame, settings: MonthlySettings) -> DataFrame:
 def build_gold(
     spark: SparkSession, root: str, settings: MonthlySettings, index: DataFrame | None = None, base_month: str | None = None
 ) -> DataFrame:
-    """Store the groupings by month and grain, so a touched month is replaced alone, then check them."""
+    """Store the groupings by month and grain, then check them."""
     tables = gold_of(read_silver(spark, root), settings)
     if index is not None and base_month:
         tables = flow_gold.with_real_salary(tables, index, base_month, "competence")
-    replace_partitions(tables, f"{root}/gold", ["competence", "grain"])
+    # Every month is computed anew, so the whole table is replaced and no group of an earlier run is left.
+    write_table(tables, f"{root}/gold", ["competence", "grain"])
     stored = read_table(spark, f"{root}/gold").withColumn("competence", F.col("competence").cast("string"))
     flow_gold.require_no_negative_groups(stored)
     flow_gold.require_balanced(stored)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,16 +13,32 @@ from jobtide.functions.movement import checked_kind
 from jobtide.functions.text import compact_header, null_tokens_to_null
 
 
+def header_groups(spark: SparkSession, paths: str | list[str]) -> list[list[str]]:
+    """Files that share one header line, as lists of paths; one small row per file reaches the driver."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("begin"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"), "value",
+    )
+    heads = lines.where("begin = 0").groupBy("path").agg(F.min_by("value", "place").alias("header")).collect()
+    groups: dict[str, list[str]] = {}
+    for row in sorted(heads, key=lambda r: r.path):
+        groups.setdefault(row.header.removeprefix("\ufeff").rstrip("\r"), []).append(row.path)
+    return list(groups.values())
+
+
 def read_flow_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Raw rows under the file's own header names.
+    """Raw rows under the files' own header names; files with their columns in another order are matched by name.
 
     A line with too few or too many fields fails the job. Column pruning is off because a pruned parse does not
     look at the fields it skips and would let such a line through.
     """
     reader = spark.read.options(
-        sep=";", header=True, inferSchema=False, mode="FAILFAST", escape='"', encoding="UTF-8", columnPruning=False
+        sep=";", header=True, inferSchema=False, mode="FAILFAST", escape='"', encoding="UTF-8", columnPruning=False, enforceSchema=False
     )
-    return reader.csv(paths)
+    scans = [reader.csv(group) for group in header_groups(spark, paths)]
+    if not scans:
+        return reader.csv(paths)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def missing_headers(columns: list[str], required: set[str] = FLOW_REQUIRED_HEADERS) -> list[str]:
