@@ -29,6 +29,8 @@ CHUNK_TEXTS, CHUNK_TOKENS = 60_000, 3_000_000
 MOST_IN_REF = 65_535
 #: Texts whose sums one task holds.
 MOST_SUMS = 2_000_000
+#: Texts whose sums travel in one row.
+BLOCK_TEXTS = 256
 
 
 class _Chunk:
@@ -114,15 +116,16 @@ def _grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordB
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text: tokens, known tokens and both scores of the words seen in this task, handed on every ``MOST_SUMS`` texts."""
+    """Tokens, known tokens and both scores, per text, of the words seen in this task; blocks of texts side by side, handed on
+    every ``MOST_SUMS`` texts."""
     begins: dict[int, int] = {}
     sums, used = np.zeros((4, 1 << 16)), 0
 
     def out() -> Iterator[pa.RecordBatch]:
         for base, begin in begins.items():
-            values = sums[:, begin : begin + widths[base]]
-            some = np.flatnonzero(values[0])
-            yield pa.RecordBatch.from_arrays([pa.array(some + base), pa.array(values[0][some].astype(np.int64)), pa.array(values[1][some].astype(np.int64)), pa.array(values[2][some]), pa.array(values[3][some])], ["row", "n_tokens", "n_known", "base_score", "score"])
+            blocks = [(at, sums[:, begin + at : begin + min(at + BLOCK_TEXTS, widths[base])]) for at in range(0, widths[base], BLOCK_TEXTS)]
+            blocks = [(at, values) for at, values in blocks if values[0].any()]
+            yield pa.RecordBatch.from_arrays([pa.array([base + at for at, _ in blocks], pa.int64()), pa.array([values.tobytes() for _, values in blocks], pa.binary())], ["block", "sums"])
 
     widths: dict[int, int] = {}
     for batch in batches:
@@ -147,6 +150,14 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
+def _merged(parts: pa.Table) -> pa.Table:
+    """The sums of one block from all tasks, a row per text. A block has as many parts as tasks saw words of its texts."""
+    sums = sum(np.frombuffer(p.as_py(), np.float64).reshape(4, -1) for p in parts.column("sums"))
+    some = np.flatnonzero(sums[0])
+    row = some + parts.column("block")[0].as_py()
+    return pa.table({"row": row, "n_tokens": sums[0][some].astype(np.int64), "n_known": sums[1][some].astype(np.int64), "base_score": sums[2][some], "score": sums[3][some]})
+
+
 def words_of(texts: DataFrame, key: str, text: str, held_out) -> DataFrame:
     """Stored words by group of texts: ``word``, ``train`` (its count in training texts), and references to the texts; the row of
     the end token also lists the texts' keys."""
@@ -206,8 +217,8 @@ def score(texts: DataFrame, held_out, key: str = "doc_id", text: str = "text", o
     flat = F.log10((F.col("count") + 1) / F.lit(float(n + v + 1)))
     scored = stored(words.join(by_word, "word_key").select("word", "count", flat.alias("base_log"), "log_p"), "ppm-scored")
     met = turned.select("word", "base", "texts", "docs", "times").join(scored, "word")
-    parts = map_arrow(met, _summed, "row bigint, n_tokens bigint, n_known bigint, base_score double, score double")
-    per_text = parts.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
+    parts = map_arrow(met, _summed, "block bigint, sums binary")
+    per_text = parts.groupBy("block").applyInArrow(_merged, "row bigint, n_tokens bigint, n_known bigint, base_score double, score double")
     listed = turned.where(F.col("keys").isNotNull()).select("base", F.posexplode(F.arrays_zip("keys", "held")).alias("i", "k"))
     rows = stored(listed.select((F.col("base") + F.col("i")).alias("row"), F.col("k.keys").alias("doc_id"), F.col("k.held").alias("held_out")), "ppm-rows")
     return rows.join(per_text, "row").select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
