@@ -40,7 +40,9 @@ def canonical_digest(text: Column) -> Column:
 
 
 def known_licenses(spark: SparkSession, known=KNOWN) -> DataFrame:
-    return spark.createDataFrame(list(known), "license string, license_text string")
+    """The list as a table whose size Spark knows, so that it can decide to broadcast it."""
+    rows = [F.struct(F.lit(name).alias("license"), F.lit(text).alias("license_text")) for name, text in known]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def match_licenses(texts: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
