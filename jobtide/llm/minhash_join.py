@@ -7,9 +7,12 @@ the similarity sought agree in at least ``MATCHES`` of ``COORDINATES`` places bu
   in one of the others (prefix and skip merging). Lists that a common passage makes long are the ones skipped;
 - a list is not expanded into pairs. One node, the pivot, is compared with the rest of its list. Jaccard distance is a
   metric: a node linked to the pivot can only link to nodes that are at most the allowed distance farther from the pivot, so
-  mostly one round settles a list, whatever its length. What is not settled goes to another round with a new pivot.
+  mostly one round settles a list, whatever its length;
+- links found so far join nodes to components, over all lists. Nodes of one component are not compared again, and a list whose
+  nodes are all of one component is done. Where several are left, nodes of the smaller ones are the next pivots.
 
-Pairs are compared by collision count first, those that may be within reach by their full sets.
+Pairs are compared by collision count first, on one byte of each coordinate. Only those that may be within reach are
+compared by their full sets.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -32,8 +35,8 @@ from jobtide.llm.shingles import shingle_sets, signature
 # it has 36 or more with the same odds.
 COORDINATES, MATCHES, RING_MATCHES = 128, 72, 36
 LEAST_PERCENT = 75
-#: Pivots of a list from the second round on.
-LATER_PIVOTS = 16
+#: Pivots of a list in the second round, and by how much they grow from round to round.
+LATER_PIVOTS, GROWTH = 16, 4
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -62,23 +65,33 @@ def _postings(batches: Iterator[pa.RecordBatch], coordinates: int) -> Iterator[p
 
 def _shingled(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = shingle_sets([t.encode() for t in strings(batch.column(2))], width)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "signature", "shingles"])
+        sets = shingle_sets([t.encode() for t in strings(batch.column(1))], width)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
+
+
+def _brief(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lowest byte of each coordinate: equal coordinates stay equal, others agree by chance once in 256."""
+    for batch in batches:
+        brief = [np.frombuffer(s, np.uint32).astype(np.uint8).tobytes() for s in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(brief, pa.binary())], ["node", "brief"])
 
 
-def _similarity(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
-    """Intersection and union of the sets of each pair with enough collisions; other pairs are far apart and left out."""
+def _colliding(batches: Iterator[pa.RecordBatch], coordinates: int, matches: int) -> Iterator[pa.RecordBatch]:
+    """The pairs with enough collisions."""
     for batch in batches:
-        names = batch.schema.names
-        kept: list[tuple[int, int, int, int]] = []
-        pivots, others, *rest = (batch.column(names.index(c)).to_pylist() for c in ("pivot", "node", "sig_a", "sig_b", "set_a", "set_b"))
-        for p, n, sig_a, sig_b, set_a, set_b in zip(pivots, others, *rest, strict=True):
-            if np.count_nonzero(np.frombuffer(sig_a, np.uint32) == np.frombuffer(sig_b, np.uint32)) >= matches:
-                a, b = np.frombuffer(set_a, np.uint64), np.frombuffer(set_b, np.uint64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                kept.append((p, n, common, len(a) + len(b) - common))
-        columns = list(zip(*kept, strict=True)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["pivot", "node", "common", "united"])
+        one, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, coordinates) for c in ("brief_a", "brief_b"))
+        yield batch.select(["a", "b"]).filter(pa.array(np.count_nonzero(one == other, axis=1) >= matches))
+
+
+def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Intersection and union of the sets of each pair."""
+    for batch in batches:
+        common, united = [], []
+        for set_a, set_b in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
+            a, b = np.frombuffer(set_a, np.uint64), np.frombuffer(set_b, np.uint64)
+            common.append(len(np.intersect1d(a, b, assume_unique=True)))
+            united.append(len(a) + len(b) - common[-1])
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(united, pa.int64())], ["a", "b", "common", "united"])
 
 
 def _plain(texts: DataFrame, key: str, text: str) -> DataFrame:
@@ -108,54 +121,74 @@ def short_lists(nodes: DataFrame, coordinates: int = COORDINATES, matches: int =
 
 
 def _pivots(lists: DataFrame, count: int) -> DataFrame:
-    """``key``, ``pivot``: ``count`` nodes of each list, those first that no earlier pivot has settled."""
-    order = F.struct(F.col("label").isNotNull().alias("settled"), F.xxhash64("node").alias("h"), F.col("node").alias("pivot"))
+    """``key``, ``pivot``, ``pivot_label``: ``count`` nodes of each list (``key``, ``node``, ``label``), those first whose component
+    has the fewest nodes in it."""
+    chosen = F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
     if count == 1:
-        return lists.groupBy("key").agg(F.min(order).alias("p")).select("key", "p.pivot")
-    rank = F.row_number().over(W.partitionBy("key").orderBy("p"))
-    return lists.select("key", order.alias("p")).withColumn("rank", rank).where(F.col("rank") <= count).select("key", "p.pivot")
+        return lists.groupBy("key").agg(F.min(chosen).alias("p")).select("key", "p.pivot", "p.pivot_label")
+    sizes = lists.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(W.partitionBy("key").orderBy("n", "p"))
+    ranked = lists.join(sizes, ["key", "label"]).select("key", "n", chosen.alias("p")).withColumn("rank", rank)
+    return ranked.where(F.col("rank") <= count).select("key", "p.pivot", "p.pivot_label")
+
+
+def _compared(pairs: DataFrame, briefs: DataFrame, sets: DataFrame, coordinates: int, matches: int) -> DataFrame:
+    """Stored ``a``, ``b``, ``common``, ``united`` of the ``pairs`` (``a``, ``b``) with at least ``matches`` collisions."""
+    first, second = (briefs.select(F.col("node").alias(c), F.col("brief").alias(f"brief_{c}")) for c in "ab")
+    near = stored(map_arrow(pairs.join(first, "a").join(second, "b"), partial(_colliding, coordinates=coordinates, matches=matches), "a bigint, b bigint"), "near-pairs")
+    first, second = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
+    return stored(map_arrow(near.join(first, "a").join(second, "b"), _similarity, "a bigint, b bigint, common bigint, united bigint"), "near-compared")
 
 
-def links(texts: DataFrame, signed: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, least: int = LEAST_PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES, ring: int = RING_MATCHES) -> DataFrame:
-    """Links ``a``, ``b`` between nodes that join every two nodes that are linked directly or over others.
+def _unsettled(met: DataFrame, compared: DataFrame, labels: DataFrame, linked: Column, reach: int) -> DataFrame:
+    """``key``, ``node`` of the nodes that were met by their list's pivot and may have a link that is not known yet.
 
-    Not every link of a dense group is listed, only enough of them to keep the group in one component.
+    A node linked to the pivot has none if all nodes outside the pivot's component are too far from the pivot for it. Pairs that
+    were not compared by their sets are farther from each other than twice the reach.
     """
+    distance = 100.0 - 100.0 * F.coalesce(F.col("common") / F.col("united"), F.lit(0.0))
+    pair = [F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")]
+    near = met.select("key", "pivot", "node", *pair).join(compared, ["a", "b"], "left").select("key", "pivot", "node", F.coalesce(linked, F.lit(False)).alias("linked"), distance.alias("distance"))
+    near = near.join(labels, "node").join(labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label")), "pivot")
+    near = stored(near.select("key", "node", "linked", "distance", (F.col("label") != F.col("pivot_label")).alias("outside")), "near-distances")
+    nearest = near.where("outside").groupBy("key").agg(F.min("distance").alias("nearest"))
+    open_lists = near.join(nearest, "key")  # lists without a node outside are done
+    return open_lists.where(~(F.col("linked") & (F.col("nearest") - F.col("distance") > reach + 1e-6))).select("key", "node")
+
+
+def roots(texts: DataFrame, signed: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, least: int = LEAST_PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES, ring: int = RING_MATCHES) -> DataFrame:
+    """``node``, ``root`` (least node reachable) of every node that may have a link. ``ring`` collisions are those of pairs within
+    twice the allowed distance."""
     classes = stored(signed.where("node IS NOT NULL").groupBy("node").agg(F.first("signature").alias("signature")), "near-classes")
-    lists = stored(short_lists(classes, coordinates, matches), "near-lists").withColumn("label", F.lit(None).cast("bigint"))
-    members = stored(lists.select("node").distinct(), "near-members")
+    lists = stored(short_lists(classes, coordinates, matches), "near-lists")
+    labels = stored(lists.select("node").distinct().withColumn("label", F.col("node")), "near-labels")
     # One text stands for its class. Only classes that have a list are read again.
-    chosen = signed.join(members, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc", "text_hash")).alias("row")).select("node", "row.doc", "row.text_hash")
+    chosen = signed.join(labels, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc", "text_hash")).alias("row")).select("node", "row.doc", "row.text_hash")
     body = _plain(texts, key, text).alias("t").join(chosen.alias("c"), (F.col("t.text_hash") == F.col("c.text_hash")) & F.col("t.doc").eqNullSafe(F.col("c.doc")))
-    one = body.groupBy("c.node").agg(F.first("t.text").alias("text")).join(classes, "node").select("node", "signature", "text")
-    sets = stored(map_arrow(one, partial(_shingled, width=width), "node bigint, signature binary, shingles binary"), "near-sets")
-    reach = 100 - least
-    linked = F.coalesce(100 * F.col("common") >= least * F.col("united"), F.lit(False))
-    distance = 100.0 - 100.0 * F.coalesce(F.col("common") / F.col("united"), F.lit(0.0))
-    found: list[DataFrame] = []
+    one = body.groupBy("c.node").agg(F.first("t.text").alias("text"))
+    sets = stored(map_arrow(one, partial(_shingled, width=width), "node bigint, shingles binary"), "near-sets")
+    briefs = stored(map_arrow(classes.join(labels, "node", "left_semi").select("node", "signature"), _brief, "node bigint, brief binary"), "near-briefs")
+    linked = 100 * F.col("common") >= least * F.col("united")
+    lists = stored(lists.withColumn("label", F.col("node")), "near-lists")
     count = 1  # one pivot first: it settles the dense lists; what is left is uneven and gets several at once
     while not lists.isEmpty():
-        met = stored(lists.join(_pivots(lists, count), "key").where("node <> pivot"), "near-met")
-        first = sets.select(F.col("node").alias("pivot"), F.col("signature").alias("sig_a"), F.col("shingles").alias("set_a"))
-        second = sets.select("node", F.col("signature").alias("sig_b"), F.col("shingles").alias("set_b"))
-        pairs = met.select("pivot", "node").distinct().join(first, "pivot").join(second, "node")
-        compared = stored(map_arrow(pairs, partial(_similarity, matches=min(ring, matches)), "pivot bigint, node bigint, common bigint, united bigint"), "near-compared")
-        found.append(compared.where(linked).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
-        near = met.join(compared, ["pivot", "node"], "left").withColumn("linked", linked).withColumn("distance", distance)
-        near = stored(near.select("key", "pivot", "node", "label", "linked", "distance"), "near-lists")
-        # A node stays unless some pivot it is linked to has no unlinked node of the list within reach of it. Pivots go.
-        nearest = near.groupBy("key", "pivot").agg(F.min(F.when(~F.col("linked"), F.col("distance"))).alias("nearest"))
-        settled = F.col("linked") & F.coalesce(F.col("nearest") - F.col("distance") > reach + 1e-6, F.lit(True))
-        used = near.select("key", F.col("pivot").alias("node")).distinct()
-        rest = near.join(nearest, ["key", "pivot"]).groupBy("key", "node").agg(F.bool_or(settled).alias("settled"), F.coalesce(F.min(F.when(F.col("linked"), F.col("pivot"))), F.first("label")).alias("label"))
-        rest = stored(rest.where("NOT settled").join(used, ["key", "node"], "left_anti").select("key", "node", "label"), "near-lists")
-        sizes = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("labels"), F.min("label").alias("low"), F.max("label").alias("high"))
-        lists = stored(rest.join(sizes.where("n > 1 AND (labels < n OR low < high)").select("key"), "key", "left_semi"), "near-lists")
-        count = LATER_PIVOTS
-    every = texts.sparkSession.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
-    for part in found:
-        every = every.union(part)
-    return every
+        met = stored(lists.join(_pivots(lists, count), "key").where("label <> pivot_label").select("key", "pivot", "node"), "near-met")
+        pairs = met.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+        compared = _compared(pairs, briefs, sets, coordinates, min(ring, matches) if count == 1 else matches)
+        ends = [labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab"]
+        joined = compared.where(linked).join(ends[0], "a").join(ends[1], "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+        merged = stored(components(joined).select(F.col("node").alias("label"), "root"), "near-merged")
+        labels = stored(labels.join(merged, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "near-labels")
+        # Pivots go: they have met all of their list that was outside their component.
+        if count == 1:
+            rest = _unsettled(met, compared, labels, linked, 100 - least)
+        else:
+            rest = lists.select("key", "node").join(met.select("key", F.col("pivot").alias("node")).distinct(), ["key", "node"], "left_anti")
+        rest = stored(rest.join(labels, "node"), "near-lists")
+        several = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+        lists = stored(rest.join(several, "key", "left_semi"), "near-lists")
+        count = LATER_PIVOTS if count == 1 else count * GROWTH
+    return labels.withColumnRenamed("label", "root")
 
 
 def near_groups(texts: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: int = LEAST_PERCENT) -> DataFrame:
@@ -166,8 +199,8 @@ def near_groups(texts: DataFrame, key: str = "doc_id", text: str = "text", width
     name unless no row of the component has a key. Other columns are ignored; no rows give none.
     """
     signed = sign(texts, key, text, width)
-    roots = stored(components(links(texts, signed, text, key, width, least)), "near-components")
-    named = signed.where("node IS NOT NULL").select("doc", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    found = roots(texts, signed, text, key, width, least)
+    named = signed.where("node IS NOT NULL").select("doc", "n_shingles", "node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = stored(named.select("doc", "n_shingles", "root"), "near-named")
     names = stored(named.groupBy("root").agg(F.min("doc").alias("component_id")), "near-names")
     linked = named.join(names, "root").select(F.col("doc").alias("doc_id"), "n_shingles", "component_id")
