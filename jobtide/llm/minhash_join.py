@@ -9,7 +9,8 @@ the similarity sought agree in at least ``MATCHES`` of ``COORDINATES`` places bu
   metric: a node linked to the pivot can only link to nodes that are at most the allowed distance farther from the pivot, so
   mostly one round settles a list, whatever its length;
 - links found so far join nodes to components, over all lists. Nodes of one component are not compared again, and a list whose
-  nodes are all of one component is done. Where several are left, nodes of the smaller ones are the next pivots.
+  nodes are all of one component is done. Where several are left, nodes of the smaller ones are the next pivots. A large
+  group whose members are just short of a link to each other is not settled by this: its work grows with its size squared.
 
 Pairs are compared by collision count first, on one byte of each coordinate. Only those that may be within reach are
 compared by their full sets.
