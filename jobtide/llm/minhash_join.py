@@ -5,12 +5,16 @@ the similarity sought agree in at least ``MATCHES`` of ``COORDINATES`` places bu
 
 - values that only one node has need no list, and each node may skip its ``MATCHES - 1`` longest lists: the pair still meets
   in one of the others (prefix and skip merging). Lists that a common passage makes long are the ones skipped;
-- a list is not expanded into pairs. One node, the pivot, is compared with the rest of its list. Jaccard distance is a
-  metric: a node linked to the pivot can only link to nodes that are at most the allowed distance farther from the pivot, so
-  mostly one round settles a list, whatever its length;
+- a list is not expanded into pairs. One node, the pivot, is compared with the rest of its list: the one with the most
+  collisions of all, which is the middle of its group and has the most links. Jaccard distance is a metric: a node linked to
+  the pivot can only link to nodes that are at most the allowed distance farther from the pivot;
 - links found so far join nodes to components, over all lists. Nodes of one component are not compared again, and a list whose
-  nodes are all of one component is done. Where several are left, nodes of the smaller ones are the next pivots. A large
-  group whose members are just short of a link to each other is not settled by this: its work grows with its size squared.
+  nodes are all of one component is done. Where several are left, nodes of the smaller ones are the next pivots;
+- for nodes that are left after the first round, shingles that at most ``RARE`` of these nodes have are looked up. Two nodes
+  that share one are compared at once: such lists have a fixed length. All other pairs share none of them, and the number of
+  their other shingles bounds their similarity from above, so variants with many edits of their own meet few nodes. A large
+  group without a middle is left, in which pairs are short of a link by shingles that many have: its work still grows with
+  its size squared.
 
 Pairs are compared by collision count first, on one byte of each coordinate. Only those that may be within reach are
 compared by their full sets.
@@ -38,6 +42,8 @@ COORDINATES, MATCHES, RING_MATCHES = 128, 72, 36
 LEAST_PERCENT = 75
 #: Pivots of a list in the second round, and by how much they grow from round to round.
 LATER_PIVOTS, GROWTH = 16, 4
+#: A shingle is rare if at most so many of the nodes that are left have it.
+RARE = 48
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -64,6 +70,16 @@ def _postings(batches: Iterator[pa.RecordBatch], coordinates: int) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], ["key", "node"])
 
 
+def _single_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each set."""
+    for batch in batches:
+        packed = batch.column(1).to_pylist()
+        shingles = np.frombuffer(b"".join(packed), np.int64)
+        nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), [len(s) // 8 for s in packed])
+        for a in range(0, len(nodes), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[a : a + (1 << 16)]), pa.array(shingles[a : a + (1 << 16)])], ["node", "shingle"])
+
+
 def _shingled(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = shingle_sets([t.encode() for t in strings(batch.column(1))], width)
@@ -108,7 +124,8 @@ def sign(texts: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
 
 def short_lists(nodes: DataFrame, coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
-    """Posting lists ``key``, ``node`` of ``nodes`` (``node``, ``signature``; distinct) after skipping.
+    """Posting lists ``key``, ``node``, ``met`` of ``nodes`` (``node``, ``signature``; distinct) after skipping. ``met`` is the number of
+    collisions that the node has with all others.
 
     Lists are ordered by length. A node keeps all but its ``matches - 1`` longest; values it shares with no one come first in
     that order and cost nothing. Nodes with fewer than ``matches`` shared values have no partner.
@@ -116,21 +133,61 @@ def short_lists(nodes: DataFrame, coordinates: int = COORDINATES, matches: int =
     posted = map_arrow(nodes, partial(_postings, coordinates=coordinates), "key bigint, node bigint")
     # Stored, so that the join is between two plain shuffles and a long list is split.
     lengths = stored(posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-lengths")
-    shared = posted.join(lengths, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("lists"))
-    kept = shared.where(F.size("lists") >= matches).select("node", F.explode(F.slice("lists", F.lit(1), F.size("lists") - (matches - 1))).alias("list"))
-    return kept.select(F.col("list.key").alias("key"), "node")
+    shared = posted.join(lengths, "key").groupBy("node").agg(F.sum("n").alias("met"), F.sort_array(F.collect_list(F.struct("n", "key"))).alias("lists"))
+    kept = shared.where(F.size("lists") >= matches).select("node", "met", F.explode(F.slice("lists", F.lit(1), F.size("lists") - (matches - 1))).alias("list"))
+    return kept.select(F.col("list.key").alias("key"), "node", "met")
+
+
+def _middles(lists: DataFrame) -> DataFrame:
+    """``key``, ``pivot``, ``pivot_label``: the node of each list with the most collisions."""
+    first = F.min(F.struct((-F.col("met")).alias("met"), F.xxhash64("node").alias("h"), F.col("node").alias("pivot"), F.col("label").alias("pivot_label")))
+    return lists.groupBy("key").agg(first.alias("p")).select("key", "p.pivot", "p.pivot_label")
 
 
 def _pivots(lists: DataFrame, count: int) -> DataFrame:
-    """``key``, ``pivot``, ``pivot_label``: ``count`` nodes of each list (``key``, ``node``, ``label``), those first whose component
-    has the fewest nodes in it."""
-    chosen = F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
-    if count == 1:
-        return lists.groupBy("key").agg(F.min(chosen).alias("p")).select("key", "p.pivot", "p.pivot_label")
+    """``key``, ``pivot``, ``pivot_label``, ``pivot_size``, ``pivot_common``: ``count`` nodes of each list, those first whose component has the
+    fewest nodes in it."""
     sizes = lists.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(W.partitionBy("key").orderBy("n", "p"))
-    ranked = lists.join(sizes, ["key", "label"]).select("key", "n", chosen.alias("p")).withColumn("rank", rank)
-    return ranked.where(F.col("rank") <= count).select("key", "p.pivot", "p.pivot_label")
+    rank = F.row_number().over(W.partitionBy("key").orderBy("n", "h", "node"))
+    ranked = lists.join(sizes, ["key", "label"]).withColumn("h", F.xxhash64("node")).withColumn("rank", rank).where(F.col("rank") <= count)
+    return ranked.select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("label", "size", "common")], F.col("node").alias("pivot"))
+
+
+def _rare_shingles(nodes: DataFrame, sets: DataFrame, rare: int) -> tuple[DataFrame, DataFrame]:
+    """``node``, ``size``, ``common``: shingles of each of ``nodes``, and those of them that more than ``rare`` of the nodes have. And ``a``,
+    ``b``: the pairs of nodes that share one of the others."""
+    here = stored(sets.join(nodes.distinct(), "node", "left_semi").select("node", "shingles"), "near-open-sets")
+    single = map_arrow(here, _single_shingles, "node bigint, shingle bigint")
+    counts = stored(single.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= rare), "near-rare")
+    posted = stored(single.join(counts, "shingle"), "near-rare-lists")
+    own = posted.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    found = here.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).join(own, "node", "left")
+    bounds = stored(found.select("node", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("common")), "near-bounds")
+    first, second = (posted.where("n > 1").select("shingle", F.col("node").alias(c)) for c in "ab")
+    return bounds, first.join(second, "shingle").where("a < b").select("a", "b").distinct()
+
+
+def _may_link(size: Column, other_size: Column, common: Column, least: int) -> Column:
+    """Whether sets of these sizes can be similar enough with ``common`` shingles in both."""
+    return least * (size + other_size) <= (100 + least) * common
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The ``pairs`` (``a``, ``b``) of different components."""
+    ends = [labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab"]
+    return pairs.join(ends[0], "a").join(ends[1], "b").where("label_a <> label_b").select("a", "b")
+
+
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Stored ``node``, ``label`` after ``links`` (``a``, ``b``) between nodes."""
+    ends = [labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab"]
+    joined = links.join(ends[0], "a").join(ends[1], "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    merged = stored(components(joined).select(F.col("node").alias("label"), "root"), "near-merged")
+    return stored(labels.join(merged, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "near-labels")
 
 
 def _compared(pairs: DataFrame, briefs: DataFrame, sets: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -157,7 +214,16 @@ def _unsettled(met: DataFrame, compared: DataFrame, labels: DataFrame, linked: C
     return open_lists.where(~(F.col("linked") & (F.col("nearest") - F.col("distance") > reach + 1e-6))).select("key", "node")
 
 
-def roots(texts: DataFrame, signed: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, least: int = LEAST_PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES, ring: int = RING_MATCHES) -> DataFrame:
+def _open_lists(lists: DataFrame, least: int) -> DataFrame:
+    """Stored lists with more than one component, less the nodes that are too unlike even the smallest set of their list."""
+    lists = stored(lists, "near-lists")
+    lowest = lists.groupBy("key").agg(F.min("size").alias("lowest"))
+    lists = lists.join(lowest, "key").where(_may_link(F.col("size"), F.col("lowest"), F.col("common"), least)).drop("lowest")
+    several = lists.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    return stored(lists.join(several, "key", "left_semi"), "near-lists")
+
+
+def roots(texts: DataFrame, signed: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, least: int = LEAST_PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES, ring: int = RING_MATCHES, rare: int = RARE) -> DataFrame:
     """``node``, ``root`` (least node reachable) of every node that may have a link. ``ring`` collisions are those of pairs within
     twice the allowed distance."""
     classes = stored(signed.where("node IS NOT NULL").groupBy("node").agg(F.first("signature").alias("signature")), "near-classes")
@@ -171,24 +237,22 @@ def roots(texts: DataFrame, signed: DataFrame, text: str = "text", key: str = "d
     briefs = stored(map_arrow(classes.join(labels, "node", "left_semi").select("node", "signature"), _brief, "node bigint, brief binary"), "near-briefs")
     linked = 100 * F.col("common") >= least * F.col("united")
     lists = stored(lists.withColumn("label", F.col("node")), "near-lists")
-    count = 1  # one pivot first: it settles the dense lists; what is left is uneven and gets several at once
-    while not lists.isEmpty():
-        met = stored(lists.join(_pivots(lists, count), "key").where("label <> pivot_label").select("key", "pivot", "node"), "near-met")
-        pairs = met.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
-        compared = _compared(pairs, briefs, sets, coordinates, min(ring, matches) if count == 1 else matches)
-        ends = [labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab"]
-        joined = compared.where(linked).join(ends[0], "a").join(ends[1], "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-        merged = stored(components(joined).select(F.col("node").alias("label"), "root"), "near-merged")
-        labels = stored(labels.join(merged, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "near-labels")
-        # Pivots go: they have met all of their list that was outside their component.
-        if count == 1:
-            rest = _unsettled(met, compared, labels, linked, 100 - least)
-        else:
-            rest = lists.select("key", "node").join(met.select("key", F.col("pivot").alias("node")).distinct(), ["key", "node"], "left_anti")
-        rest = stored(rest.join(labels, "node"), "near-lists")
-        several = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-        lists = stored(rest.join(several, "key", "left_semi"), "near-lists")
-        count = LATER_PIVOTS if count == 1 else count * GROWTH
+    # The middle first: it settles the dense lists.
+    met = stored(lists.join(_middles(lists), "key").where("label <> pivot_label").select("key", "pivot", "node"), "near-met")
+    compared = _compared(_pairs(met), briefs, sets, coordinates, min(ring, matches))
+    labels = _relabelled(labels, compared.where(linked))
+    rest = stored(_unsettled(met, compared, labels, linked, 100 - least), "near-lists")
+    bounds, sharing = _rare_shingles(rest.select("node"), sets, rare)
+    labels = _relabelled(labels, _compared(_apart(sharing, labels), briefs, sets, coordinates, matches).where(linked))
+    lists, count = _open_lists(rest.join(labels, "node").join(bounds, "node"), least), LATER_PIVOTS
+    while not lists.isEmpty():  # what is left is uneven and gets several pivots at once
+        pivots = stored(_pivots(lists, count), "near-pivots")
+        may_link = _may_link(F.col("size"), F.col("pivot_size"), F.least("common", "pivot_common"), least)
+        met = stored(lists.join(pivots, "key").where("label <> pivot_label").where(may_link).select("key", "pivot", "node"), "near-met")
+        labels = _relabelled(labels, _compared(_pairs(met), briefs, sets, coordinates, matches).where(linked))
+        # Pivots go: they have met all of their list that was outside their component and may link to them.
+        rest = lists.drop("label").join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
+        lists, count = _open_lists(rest.join(labels, "node"), least), count * GROWTH
     return labels.withColumnRenamed("label", "root")
 
 
