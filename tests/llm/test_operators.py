@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import partial
 from math import log10
 
 import numpy as np
@@ -112,6 +113,29 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
+def brute_groups(rows):
+    """Least id reachable from each id over links between full shingle sets."""
+    sets = {i: shingles(t) for i, t in rows}
+    root = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = a, b
+                while root[x] != x:
+                    x = root[x]
+                while root[y] != y:
+                    y = root[y]
+                root[max(x, y)] = min(x, y)
+    for i in root:
+        while root[i] != root[root[i]]:
+            root[i] = root[root[i]]
+    return root
+
+
+def near_groups_of(spark, rows):
+    return {r.doc_id: r.component_id for r in minhash_join.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
 def test_near_groups_of_chains_and_stars(spark):
     """Chains whose ends are far apart, and stars around one text, must each become one component."""
     rng = np.random.default_rng(5)
@@ -127,22 +151,28 @@ def test_near_groups_of_chains_and_stars(spark):
             else:
                 words = [*words[:2 * step], *(f"s{n}x{i}" for i in range(2)), *words[2 * step + 2 :]]
     rows += [(n + i, f"boiler plate text that all of these share {i} and then goes on with own {i * 7} words {i * 11}") for i in range(20)]
-    sets = {i: shingles(t) for i, t in rows}
-    root = {i: i for i in sets}
-    for a in sets:
-        for b in sets:
-            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
-                x, y = a, b
-                while root[x] != x:
-                    x = root[x]
-                while root[y] != y:
-                    y = root[y]
-                root[max(x, y)] = min(x, y)
-    for i in root:
-        while root[i] != root[root[i]]:
-            root[i] = root[root[i]]
-    found = {r.doc_id: r.component_id for r in minhash_join.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert found == root
+    assert near_groups_of(spark, rows) == brute_groups(rows)
+
+
+@pytest.mark.parametrize("rare", [2, minhash_join.RARE])
+def test_near_groups_of_variants_just_short_of_links(spark, monkeypatch, rare):
+    """A large group of variants, with edits of their own or from a few common ones, at about the similarity sought to each other.
+    Also where so few shingles count as rare that all later rounds run."""
+    monkeypatch.setattr(minhash_join, "roots", partial(minhash_join.roots, rare=rare))
+    monkeypatch.setattr(minhash_join, "LATER_PIVOTS", 2)
+    rng = np.random.default_rng(11)
+    words = [f"t{i}" for i in range(150)]
+    rows = []
+    for n in range(220):
+        text = list(words)
+        for at in rng.choice(150, int(rng.integers(1, 9)), replace=False):
+            text[at] = f"own{n}x{at}" if rng.random() < 0.6 else f"edit{at % 2}"
+        if n % 7 == 0:
+            text = text[: int(rng.integers(100, 150))]
+        rows.append((n, " ".join(text)))
+    expected = brute_groups(rows)
+    assert len(set(expected.values())) > 5
+    assert near_groups_of(spark, rows) == expected
 
 
 def test_near_groups_of_odd_rows(odd, none):
