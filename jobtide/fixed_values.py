@@ -137,7 +137,6 @@ EXPECTED_PARTS_BY_YEAR = {2025: 7}
 # --- Fixed values: annual files and header rules. ---------------------------------------------------------------
 STOCK_SUFFIXES = [".comt", ".txt", ".csv"]
 HEADER_ENCODINGS = ["utf-8-sig", "utf-8", "latin-1"]
-HEADER_SAMPLE_BYTES = 262144
 HEADER_DELIMITERS = [";", "|", "\t", ","]
 HEADER_MINIMUM_COLUMNS = 5
 

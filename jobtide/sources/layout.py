@@ -1,13 +1,10 @@
 """Layout inspection of annual files: encoding, delimiter, header and header signature.
 
-Only the first 256 KiB of each file are read, whatever its size, and files are inspected in parallel.
+The encoding is decided on all lines of a file. Files are scanned as text by Spark's reader, large ones in parts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,42 +13,36 @@ from jobtide.fixed_values import (
     HEADER_DELIMITERS,
     HEADER_ENCODINGS,
     HEADER_MINIMUM_COLUMNS,
-    HEADER_SAMPLE_BYTES,
     STOCK_SUFFIXES,
 )
 from jobtide.functions.text import snake_header_column
 
 
-def first_encoding_that_decodes(sample: bytes) -> tuple[str, str]:
-    for encoding in HEADER_ENCODINGS:
-        try:
-            return encoding, sample.decode(encoding)
-        except UnicodeDecodeError:
-            pass
-    raise UnicodeError("no known encoding decodes the file head")
-
-
-def _read_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            filesystem, inner = fs.FileSystem.from_uri(path)
-            with filesystem.open_input_stream(inner) as stream:
-                encoding, text = first_encoding_that_decodes(stream.read(HEADER_SAMPLE_BYTES))
-            header = next((line for line in text.splitlines() if line.strip()), None)
-            rows.append((path, encoding, header))
-        yield pd.DataFrame(rows, columns=["path", "encoding", "header_line"])
-
-
 def read_file_heads(spark: SparkSession, directory: str) -> DataFrame:
-    """One row per supported file below ``directory``: path, encoding, first non-blank line."""
-    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory).select("path")
-    wanted = names.where(
-        F.lower("path").rlike("(" + "|".join(s.replace(".", r"\.") for s in STOCK_SUFFIXES) + ")$")
+    """One row per supported file below ``directory``: path, encoding, first non-blank line (null for a file without one).
+    Spark lists no files of zero bytes.
+
+    The reader keeps the bytes of each line. UTF-8 never uses a line break inside a character, so a file decodes if all its
+    lines do; otherwise the last known encoding, which decodes any bytes, is taken. A byte order mark is not part of the line.
+    """
+    utf8, *_, any_bytes = HEADER_ENCODINGS
+    supported = F.lower("file").rlike("(" + "|".join(s.replace(".", r"\.") for s in STOCK_SUFFIXES) + ")$")
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
+    lines = spark.read.option("recursiveFileLookup", True).text(directory)
+    line = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        F.is_valid_utf8("value").alias("valid"),
+        F.col("value").rlike(r"(?U)\S").alias("filled"),
+        F.col("value").cast("binary").alias("raw"),
     )
-    return wanted.mapInPandas(_read_heads, "path string, encoding string, header_line string")
+    first = F.min(F.when(F.col("filled"), F.struct("block", "place", "raw"))).getField("raw")
+    heads = line.where(supported).groupBy("file").agg(F.bool_and("valid").alias("valid"), first.alias("raw"))
+    files = names.select("path", F.col("_metadata.file_path").alias("file")).where(supported).join(heads, "file", "left")
+    valid = F.coalesce("valid", F.lit(True))
+    header = F.when(valid, F.decode("raw", "UTF-8")).otherwise(F.decode("raw", "ISO-8859-1"))
+    return files.select("path", F.when(valid, utf8).otherwise(any_bytes).alias("encoding"), header.alias("header_line"))
 
 
 def detect_delimiter(header: Column) -> Column:

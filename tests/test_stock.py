@@ -8,7 +8,7 @@ from jobtide.fixed_values import STOCK_REQUIRED_ALIASES
 from jobtide.operators import contracts, quality, stock
 from jobtide.operators.gates import annual_reconciliation, regional_reconciliation, regional_summary
 from jobtide.plans.annual import build_stock_gold, build_stock_silver, reconcile
-from jobtide.sources.layout import inspect_layouts, layout_summary, require_valid_layouts
+from jobtide.sources.layout import inspect_layouts, layout_summary, read_file_heads, require_valid_layouts
 from jobtide.sources.stock_text import read_stock_text
 from jobtide.sources.tables import union_parts
 
@@ -252,3 +252,17 @@ def test_stock_rules(rows):
     assert got["active_abandoned_not_one"] == (2, False) and got["active_rem_dec_positive"] == (2, False)
     assert got["active_abandoned_zero_rem_dec_positive"] == (0, False)
     assert {(r.abandoned, r.rows) for r in quality.abandoned_values_of_active(data).collect()} == {("0", 1), ("1", 1), ("", 1)}
+
+
+def test_encoding_follows_the_whole_file(spark, tmp_path):
+    """Bytes far behind the header decide; a character across any block edge does not; a mark is dropped; blank files have no header."""
+    header, filler = "a;b;c;d;é", "x;" * 200_000
+    (tmp_path / "late latin.csv").write_bytes(f"{header}\n{filler}\nç".encode("latin-1"))
+    (tmp_path / "edge.txt").write_bytes(f"\n \r\n{header}\n".encode() + b"y" * (262_143 - len(header.encode()) - 5) + "ç\n".encode() * 9)
+    (tmp_path / "mark.COMT").write_bytes(f"{header}\n1".encode("utf-8-sig"))
+    (tmp_path / "blank.csv").write_bytes(b" \n\n")
+    (tmp_path / "other.md").write_bytes(b"no\xff")
+    got = {r.path.rsplit("/", 1)[1]: (r.encoding, r.header_line) for r in read_file_heads(spark, str(tmp_path)).collect()}
+    assert got == {
+        "late latin.csv": ("latin-1", header), "edge.txt": ("utf-8-sig", header), "mark.COMT": ("utf-8-sig", header),
+        "blank.csv": ("utf-8-sig", None)}
