@@ -1,7 +1,7 @@
 """Personal data: patterns first, then terms that give a protected entity away by what the corpus knows.
 
 Entities are the values that the patterns find (an address, a number). A term t reveals an entity e by the share of e's
-information that seeing t gives: PMI(e; t) / IC(e), from how many documents hold either and both. Above ``GENERALISE`` the
+information that seeing t gives: PMI(e; t) / IC(e), from how many documents hold either and both, be it one. Above ``GENERALISE`` the
 term is replaced by its kind of word, above ``REMOVE`` it is taken out; both in the documents that hold the entity.
 """
 
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from jobtide.llm.frames import map_arrow, stored, strings
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Entities and terms in fewer distinct texts give no estimate.
-SUPPORT = 3
+#: Documents at the entity's base rate that each term counts besides its own: a term seen once says less than one seen often.
+PRIOR = 0.5
 GENERALISE, REMOVE = 0.85, 0.95
 
 # What an entity looks like. A run of digits cannot match from its middle if it does not from its start, so
@@ -178,41 +178,42 @@ def _plain(texts: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
     return plain, plain.schema["doc"].dataType.simpleString()
 
 
-def disclosing_terms(plain: DataFrame, kind: str, found: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
-    """The texts that hold an entity found in at least ``support`` distinct texts (``doc``, ``text_hash``, ``text``), and for each of
-    them its disclosing terms (``doc``, ``text_hash``, ``terms``: term and greatest share of an entity's information)."""
+def disclosing_terms(plain: DataFrame, kind: str, found: DataFrame, prior: float = PRIOR, least: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
+    """The texts that hold an entity (``doc``, ``text_hash``, ``text``), and for each of them its disclosing terms (``doc``, ``text_hash``, ``terms``: term and greatest share of an entity's information)."""
     documents = found.count()
     held = found.where(F.size("entities") > 0).groupBy("doc", "text_hash").agg(F.first("entities").alias("entities"), F.count(F.lit(1)).alias("copies"))
     held = stored(held.select("doc", "text_hash", "copies", F.explode("entities").alias("entity")), "pii-held")
-    known = stored(held.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count_distinct("text_hash").alias("texts")).where(F.col("texts") >= support).select("entity", "n_e"), "pii-entities")
-    risky = stored(held.join(known, "entity").groupBy("doc", "text_hash").agg(F.first("copies").alias("copies"), F.collect_set("entity").alias("entities")), "pii-risky")
+    known = stored(held.groupBy("entity").agg(F.sum("copies").alias("n_e"), (F.min("text_hash") < F.max("text_hash")).alias("spread")), "pii-entities")
+    # Entities that only one text holds have the same counts with each term: one of them stands for all, so pairs do not multiply.
+    chosen = F.concat(F.collect_set(F.when(F.col("spread"), F.col("entity"))), F.array_compact(F.array(F.min(F.when(~F.col("spread"), F.col("entity"))))))
+    risky = stored(held.join(known, "entity").groupBy("doc", "text_hash").agg(F.first("copies").alias("copies"), chosen.alias("entities")), "pii-risky")
     bodies = plain.alias("t").join(risky.alias("r"), _same_row("t", "r")).select("t.doc", "t.text_hash", "r.copies", "t.text", "r.entities").dropDuplicates(["doc", "text_hash"])
     bodies = stored(bodies, "pii-bodies")
     pairs = stored(map_arrow(bodies, _paired, f"doc {kind}, text_hash bigint, copies bigint, entity string, term binary"), "pii-pairs")
-    both = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_et"), F.count_distinct("text_hash").alias("texts")).where(F.col("texts") >= support)
-    both = stored(both.select("entity", "term", "n_et"), "pii-both")
+    both = stored(pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_et")), "pii-both")
     asked = stored(both.select("term").distinct(), "pii-terms")
     counted = map_arrow(plain.select("text"), _counted, "term binary, n bigint").join(asked, "term").groupBy("term").agg(F.sum("n").alias("n_t"))
-    share = 1 + F.log2(F.col("n_et") / F.col("n_t")) / F.log2(F.lit(float(max(documents, 1))) / F.col("n_e"))
+    base = F.col("n_e") / F.lit(float(max(documents, 1)))
+    share = 1 - F.log2((F.col("n_et") + prior * base) / (F.col("n_t") + prior)) / F.log2(base)
     # An entity in every document has no information to give away.
-    telling = both.join(stored(counted, "pii-counted"), "term").join(known, "entity").where(F.col("n_e") < documents).withColumn("share", share).where(F.col("share") >= least)
+    telling = both.join(stored(counted, "pii-counted"), "term").join(known.select("entity", "n_e"), "entity").where(F.col("n_e") < documents).withColumn("share", share).where(F.col("share") >= least)
     telling = stored(telling.select("entity", "term", "share"), "pii-telling")
     per_text = pairs.join(telling, ["entity", "term"]).groupBy("doc", "text_hash", "term").agg(F.max("share").alias("share"))
     return bodies, per_text.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("term", "share")).alias("terms"))
 
 
-def find_personal(texts: DataFrame, key: str = "doc_id", text: str = "text", support: int = SUPPORT, least: float = GENERALISE, with_text: bool = False) -> DataFrame:
+def find_personal(texts: DataFrame, key: str = "doc_id", text: str = "text", prior: float = PRIOR, least: float = GENERALISE, with_text: bool = False) -> DataFrame:
     """One row per input row: ``doc_id``, ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``base_sha256``, ``spans`` and, with ``with_text``,
     ``clean``: the text with its entities replaced by their kind and its disclosing terms generalised or removed.
 
     ``spans`` lists kind:start:end by kind (email, ip, card, phone, term), then start; ``base_sha256`` is the digest of that list without
-    terms. A null text is empty and has none. A text without an entity known from ``support`` distinct texts gets no term.
+    terms. A null text is empty and has none. A text without an entity gets no term; entities count however few texts hold them.
     Rows that share key and text get the same result. Other columns are ignored; no rows give none.
     """
     plain, kind = _plain(texts, key, text)
     counts = ", ".join(f"n_{k} bigint" for k in KINDS[:4])
     found = stored(map_arrow(plain, _found, f"doc {kind}, text_hash bigint, {counts}, base_sha256 string, spans string, entities array<string>"), "pii-found")
-    bodies, terms = disclosing_terms(plain, kind, found, support, least)
+    bodies, terms = disclosing_terms(plain, kind, found, prior, least)
     asked = bodies.alias("b").join(stored(terms, "pii-per-text").alias("k"), _same_row("b", "k")).select("b.doc", "b.text_hash", "b.text", "k.terms")
     marked = stored(map_arrow(asked, _marked, f"doc {kind}, text_hash bigint, all_spans string, clean string"), "pii-marked")
     out = found.alias("f").join(marked.alias("m"), _same_row("f", "m"), "left")

@@ -377,6 +377,42 @@ def test_terms_that_reveal(spark, none):
     assert disclosure.find_personal(none).count() == 0
 
 
+def term_spans(row, text):
+    return [text[int(a) : int(b)] for k, a, b in (s.split(":") for s in row.spans.split(",") if s) if k == "term"]
+
+
+def test_terms_of_entities_in_one_text(spark):
+    """An entity that one document holds, several such entities in one document, and exact copies of it under other ids."""
+    told = "common words are here and qwyzzle goes with kim@mail.org or lee@mail.org or 10.1.2.3 in common place"
+    rows = [(i, f"common words are here for all of us in place {i} with or and goes") for i in range(60)] + [(100, told), (200, told.replace("qwyzzle", "vrombat").replace("mail", "post").replace("10.1", "11.1")), (201, told.replace("qwyzzle", "vrombat").replace("mail", "post").replace("10.1", "11.1"))]
+    found = {r.doc_id: r for r in disclosure.find_personal(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).collect()}
+    texts = dict(rows)
+    assert {i: term_spans(r, texts[i]) for i, r in found.items()} == {**{i: [] for i in range(60)}, 100: ["qwyzzle"], 200: ["vrombat"], 201: ["vrombat"]}
+    assert "qwyzzle" not in found[100].clean and "common words are here and [WORD] goes with [EMAIL] or [EMAIL] or [IP]" in found[100].clean
+
+
+def test_shares_equal_brute_force(spark):
+    rng = np.random.default_rng(23)
+    people = [f"p{i}@x{i % 3}.org" for i in range(12)]
+    rows = []
+    for i in range(120):
+        words = [f"w{''.join(chr(97 + int(c)) for c in str(n))}" for n in (rng.pareto(0.6, 15) * 3).astype(int)]
+        words += [people[int(n)] for n in rng.integers(0, 12, int(rng.integers(0, 3)) if i % 2 else 0)]
+        rows.append((i, " ".join(rng.permutation(words))))
+    n = len(rows)
+    outside = {i: {w for w in t.split() if "@" not in w} for i, t in rows}
+    inside = {i: {w for w in t.split() if "@" in w} for i, t in rows}
+    n_t, n_e = (Counter(w for s in sets.values() for w in s) for sets in (outside, inside))
+    n_et = Counter((e, w) for i in outside for e in inside[i] for w in outside[i])
+    want = {}
+    for i in outside:
+        share = {w: max((1 - np.log2((n_et[e, w] + 0.5 * n_e[e] / n) / (n_t[w] + 0.5)) / np.log2(n_e[e] / n) for e in inside[i]), default=0) for w in outside[i]}
+        want[i] = sorted(w for w, x in share.items() if x >= 0.85)
+    found = {r.doc_id: r for r in disclosure.find_personal(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(map(len, want.values())) > 10
+    assert {i: sorted(set(term_spans(found[i], t))) for i, t in rows} == want
+
+
 def test_personal_data_in_odd_rows(odd):
     found = disclosure.find_personal(odd).collect()
     assert len(found) == len(TEXTS) + 1 and {r.spans for r in found} == {""} and {r.base_sha256 for r in found} == {hashlib.sha256(b"").hexdigest()}
