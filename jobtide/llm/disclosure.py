@@ -100,8 +100,19 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], ["doc", "text_hash", *(f"n_{k}" for k in KINDS[:4]), "base_sha256", "spans", "entities"])
 
 
+def _blanked(text: str, spans: list[Span]) -> str:
+    """Spaces where the spans are, so that what stands outside them keeps its place."""
+    out, last = [], 0
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if b > last:
+            out += [text[last:a], " " * (b - max(a, last))]
+            last = b
+    return "".join([*out, text[last:]])
+
+
 def _terms(text: str) -> set[bytes]:
-    return set(text.encode().translate(TERM_BYTES).split())
+    """The terms outside the base spans; an entity's own spelling does not keep the same words elsewhere from counting."""
+    return set(_blanked(text, base_spans(text)).encode().translate(TERM_BYTES).split())
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,8 +132,7 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kind = batch.schema.field(0).type
         for doc, text_hash, copies, text, entities in zip(*(batch.column(i).to_pylist() for i in range(3)), strings(batch.column(3)), batch.column(4).to_pylist(), strict=True):
-            inside = {t.encode() for s in base_spans(text) for t in TERM.findall(text[s[1] : s[2]].lower())}
-            terms = sorted(_terms(text) - inside)
+            terms = sorted(_terms(text))
             for e in entities:
                 n = len(terms)
                 yield pa.RecordBatch.from_arrays([pa.array([doc] * n, kind), pa.array([text_hash] * n, pa.int64()), pa.array([copies] * n, pa.int64()), pa.array([e] * n, pa.string()), pa.array(terms, pa.binary())], ["doc", "text_hash", "copies", "entity", "term"])
@@ -139,12 +149,9 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, terms in zip(strings(batch.column(2)), batch.column(3).to_pylist(), strict=True):
             share = {t["term"]: t["share"] for t in terms}
             base = base_spans(text)
-            edges = sorted((a, b) for _, a, b in base)
-            more, words, i = [], [], 0
-            for m in TERM.finditer(text):
-                while i < len(edges) and edges[i][1] <= m.start():
-                    i += 1
-                if (s := share.get(_lower(m.group()))) is not None and not any(a < m.end() and b > m.start() for a, b in edges[i : i + 4]):
+            more, words = [], []
+            for m in TERM.finditer(_blanked(text, base)):
+                if (s := share.get(_lower(m.group()))) is not None:
                     more.append(("term", *m.span()))
                     words.append("" if s >= REMOVE else "[NAME]" if m.group()[0].isupper() else "[WORD]")
             spans_out.append(joined([*base, *more]))

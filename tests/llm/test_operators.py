@@ -391,6 +391,22 @@ def test_terms_of_entities_in_one_text(spark):
     assert "qwyzzle" not in found[100].clean and "common words are here and [WORD] goes with [EMAIL] or [EMAIL] or [IP]" in found[100].clean
 
 
+def test_names_in_an_address_and_beside_it(spark):
+    rows = [(i, f"common words are here for all of us in place {i}") for i in range(60)]
+    rows += [(70 + i, f"write to smith{i}.x@corp.org in place {i}") for i in range(5)]
+    rows += [(100, "Jo Smith, are here: jo.smith@corp.org, or jo.smith@corp.org +1 (625) 555-7196é for all of us")]
+    found = {r.doc_id: r for r in disclosure.find_personal(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).collect()}
+    assert term_spans(found[100], rows[-1][1]) == ["Jo", "Smith", "or", "é"]
+    assert found[100].clean == "[NAME] [NAME], are here: [EMAIL], [WORD] [EMAIL] [PHONE][WORD] for all of us"
+
+
+def test_blanks_keep_places():
+    text = "a@b.co 1.2.3.4567 é 4918187128635271 +4918187128635271 x a@b.co"
+    blank = disclosure._blanked(text, disclosure.base_spans(text))
+    base = {i for _, a, b in disclosure.base_spans(text) for i in range(a, b)}
+    assert blank == "".join(" " if i in base else c for i, c in enumerate(text)) and base
+
+
 def test_shares_equal_brute_force(spark):
     rng = np.random.default_rng(23)
     people = [f"p{i}@x{i % 3}.org" for i in range(12)]
