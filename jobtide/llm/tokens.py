@@ -71,12 +71,15 @@ class Encoder:
         pieces = PIECE.findall(text)
         if sum(map(len, pieces)) != len(text):  # other white space
             pieces = CUT.split(text)
+        distinct = set(pieces)
+        if len(distinct) > REMEMBERED:  # more than a generation holds
+            return self._ids(text)
         known = self.recent
-        if unknown := [p for p in set(pieces) if p not in known]:
+        if unknown := [p for p in distinct if p not in known]:
             self._learn(unknown)
-            if self.recent is not known:  # a new generation: what this text needs of the old one is carried over
+            if self.recent is not known:  # a new generation: what this text needs of the old one is carried over, and has room
                 known = self.recent
-                self._learn([p for p in set(pieces) if p not in known])
+                self._learn([p for p in distinct if p not in known])
         return np.frombuffer(b"".join([known[p] for p in pieces]), np.uint32)
 
 

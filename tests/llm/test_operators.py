@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from jobtide.llm import bitpack, disclosure, exact_dedup, license_digest, minhash_join, mixing, packing, ppm, preference_chat, quality_rules
+from jobtide.llm import bitpack, disclosure, exact_dedup, license_digest, minhash_join, mixing, packing, ppm, preference_chat, quality_rules, tokens
 from jobtide.llm.components import components
 from jobtide.llm.tokens import _tokenizer, encoded
 
@@ -235,6 +235,15 @@ def test_ids_equal_the_library(odd):
     assert [i.tolist() for i in encoded(texts, TOKENIZER, 2)] == [ids_of(t) for t in texts]
 
 
+@pytest.mark.parametrize("remembered", [1, 4, 7])
+def test_ids_of_texts_with_more_pieces_than_remembered(monkeypatch, remembered):
+    monkeypatch.setattr(tokens, "REMEMBERED", remembered)
+    known = tokens.Encoder(TOKENIZER)
+    for text in ["a b c", "c d e f g h i j", "a b c d", "d e f g h i j", "x  y\n\nz a b c d e f", "a b c d e f g", PROSE, "a"]:
+        assert known.encode(text).tolist() == ids_of(text)[:-1]
+        assert len(known.recent) <= remembered and len(known.older) <= remembered
+
+
 @pytest.mark.parametrize("bits", [1, 3, 8, 16, 17, 32])
 def test_bits_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 1 << bits, 1001).astype(np.uint32)
