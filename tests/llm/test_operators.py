@@ -461,3 +461,23 @@ def test_licenses(spark, none):
     found = {(r.doc_id, r.license, r.whole, r.n_lines) for r in license_digest.match_licenses(spark.createDataFrame(rows, "doc_id long, text string"), license_digest.known_licenses(spark)).collect()}
     assert found == {(1, "Apache-2.0", True, 1), (2, "MIT", True, 2), (3, "MIT", False, 2)}
     assert license_digest.match_licenses(none, license_digest.known_licenses(spark)).count() == 0
+
+
+def test_whole_license_texts(spark):
+    shipped = {f.stem: f.read_text() for f in license_digest.TEXTS.glob("*.txt")}
+    rows = [(n, n, t) for n, t in shipped.items()] + [(f"own {n}", n, f"Copyright (c) 2021 Someone\nAll rights reserved.\n\n{shipped[n]}") for n in ("MIT", "BSD-2-Clause", "ISC")]
+    rows += [("titled", "MIT", f"The MIT License (MIT)\n\nCopyright (c) 2015 Me\n\n{shipped['MIT'].upper()}"), ("cut", "Apache-2.0", shipped["Apache-2.0"].partition("APPENDIX")[0])]
+    rows += [("holder", "BSD-3-Clause", shipped["BSD-3-Clause"].replace("University", "copyright holder").replace("REGENTS AND", "COPYRIGHT HOLDERS AND").replace("REGENTS OR", "COPYRIGHT OWNER OR"))]
+    rows += [("moved", "GPL-2.0-only", shipped["GPL-2.0-only"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301", "59 Temple Place, Suite 330, Boston, MA  02111-1307"))]
+    head = "This program is free software: you can redistribute it" + shipped["GPL-3.0-only"].split("This program is free software: you can redistribute it")[1].split("Also add")[0]
+    rows += [("head", "GPL-3.0-or-later", head), ("other", None, shipped["MIT"] + "x"), ("half", None, shipped["ISC"][:200])]
+    known = license_digest.known_licenses(spark)
+    found = {(r.doc_id, r.license) for r in license_digest.match_licenses(spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id string, text string"), known).collect()}
+    assert len(shipped) > 15 and {(i, n) for i, n, _ in rows if n} == found
+
+
+def test_known_licenses_are_canonical(spark):
+    table = spark.createDataFrame(license_digest.KNOWN, "license string, text string")
+    forms = {(r.license, r.text): r.c for r in table.withColumn("c", license_digest.canonical(F.col("text"))).collect()}
+    assert all(c == license_digest.plain_form(t) and c for (_, t), c in forms.items())
+    assert all("'" not in t for _, t in license_digest.KNOWN)
