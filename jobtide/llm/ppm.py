@@ -1,8 +1,10 @@
-"""Language-model scores by prediction by partial matching over the bytes of words.
+"""Language-model scores by prediction by partial matching over the bytes of texts.
 
-The context of a byte is up to ``order`` bytes before it in its word, the word's start counting as white space. So a
-text's code length is the sum over its words, and a word is scored once, however many texts hold it. The context trie
-is a set of tables, one per length, made from the counts of all training words; nothing of it is held whole anywhere.
+The context of a byte is up to ``order`` bytes before it in the text, whose words stand one space apart. A word's
+probability depends on the ``order`` bytes before it alone, so these and the word are a unit that is scored once, however
+many texts hold it, and a text's code length is the sum over its units. Without ``across``, the contexts of a word end at
+its start, which counts as white space. The context trie is a set of tables, one per length, made from the counts of all
+training units; nothing of it is held whole anywhere.
 
 A byte is predicted in its longest context that training has seen. What that context has not seen is escaped with the
 estimate "distinct / (total + distinct)", and the next shorter context then leaves out (excludes) all bytes that the
@@ -34,12 +36,13 @@ BLOCK_TEXTS = 256
 
 
 class _Chunk:
-    """Words of many texts, turned round: for each word the texts that hold it and how often."""
+    """Units of many texts, turned round: for each unit the texts that hold it and how often."""
 
-    def __init__(self, base: int):
-        self.base = base
-        self.number = dict.fromkeys([END], 0)
-        self.next = count(1)
+    def __init__(self, base: int, order: int, across: bool):
+        self.base, self.order, self.across = base, order, across
+        self.pad = bytes([AFTER]) * order
+        self.number: dict[bytes, int] = {}
+        self.next = count()
         self.ids: list[np.ndarray] = []
         self.docs: list[int | None] = []
         self.held: list[bool] = []
@@ -48,11 +51,20 @@ class _Chunk:
     def add(self, doc: int | None, held: bool, text: str) -> None:
         words = text.encode().lower().split()
         number, following = self.number, self.next
-        for word in set(words):
-            if word not in number:
-                number[word] = next(following)
         words.append(END)
-        self.ids.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
+        if self.across and self.order:
+            # Where the text with its words one space apart has each word, and what stands before it.
+            whole, order, at, units = self.pad + bytes([AFTER]).join(words), self.order, 0, []
+            for word in words:
+                end = at + order + len(word)
+                units.append(whole[at:end])
+                at = end + 1 - order
+        else:
+            units = [self.pad + word for word in words]
+        for unit in set(units):
+            if unit not in number:
+                number[unit] = next(following)
+        self.ids.append(np.fromiter(map(number.__getitem__, units), np.int32, len(units)))
         self.docs.append(doc)
         self.held.append(held)
         self.tokens += len(words)
@@ -78,17 +90,17 @@ class _Chunk:
         rest = [None] * (len(names) - 1)
         return pa.RecordBatch.from_arrays(
             [pa.array(names, pa.binary()), pa.array(train, pa.int64()), pa.array(np.full(len(names), self.base), pa.int64()), pa.array(np.full(len(names), len(self.ids)), pa.int64()), pa.array(refs, pa.binary()), pa.array(counts, pa.binary()), pa.array([self.docs, *rest], pa.list_(kind)), pa.array([self.held, *rest], pa.list_(pa.bool_()))],
-            ["word", "train", "base", "texts", "docs", "times", "keys", "held"],
+            ["unit", "train", "base", "texts", "docs", "times", "keys", "held"],
         )
 
 
-def _turned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _turned(batches: Iterator[pa.RecordBatch], order: int, across: bool) -> Iterator[pa.RecordBatch]:
     chunk = None
     for batch in batches:
         kind = batch.schema.field(1).type
         for row, doc, held, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strings(batch.column(3)), strict=True):
             if chunk is None:
-                chunk = _Chunk(row)
+                chunk = _Chunk(row, order, across)
             chunk.add(doc, held, text)
             if len(chunk.ids) >= CHUNK_TEXTS or chunk.tokens >= CHUNK_TOKENS:
                 yield chunk.rows(kind)
@@ -98,11 +110,10 @@ def _turned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
-    """For each byte of each word: it and the ``order`` bytes before it, packed in one number, the byte itself lowest."""
+    """For each byte of each unit's word: it and the ``order`` bytes before it, packed in one number, the byte itself lowest."""
     for batch in batches:
-        words = batch.column(0).to_pylist()
-        pad = bytes([AFTER]) * order
-        spelled = [pad + w if w == END else pad + w + bytes([AFTER]) for w in words]
+        units = batch.column(0).to_pylist()
+        spelled = [u if u[order:] == END else u + bytes([AFTER]) for u in units]
         raw = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64)
         sizes = np.array([len(s) for s in spelled])
         packed = np.zeros(max(0, len(raw) - order), np.int64)
@@ -112,11 +123,11 @@ def _grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordB
         counts = sizes - order
         inside = np.ones(len(packed), bool)
         inside[(ends[:-1, None] - order + np.arange(order)).ravel()] = False
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(1).to_numpy(), counts)), pa.array(np.repeat(batch.column(2).to_numpy(), counts)), pa.array(packed[inside])], ["word_key", "train", "gram"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(1).to_numpy(), counts)), pa.array(np.repeat(batch.column(2).to_numpy(), counts)), pa.array(packed[inside])], ["unit_key", "train", "gram"])
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens, known tokens and both scores, per text, of the words seen in this task; blocks of texts side by side, handed on
+    """Tokens, known tokens and both scores, per text, of the units seen in this task; blocks of texts side by side, handed on
     every ``MOST_SUMS`` texts."""
     begins: dict[int, int] = {}
     sums, used = np.zeros((4, 1 << 16)), 0
@@ -144,7 +155,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(r) // 2 for r in refs])
         place = np.repeat(np.array([begins[b] for b in base.to_pylist()]), sizes) + np.frombuffer(b"".join(refs), "<u2")
         n = np.frombuffer(b"".join(times.to_pylist()), "<u2").astype(np.float64)
-        # One text may have several references of a word, so places can repeat.
+        # One text may have several references of a unit, so places can repeat.
         for row, each in enumerate((None, train.to_numpy() > 0, flat.to_numpy(), model.to_numpy())):
             np.add.at(sums[row], place, n if each is None else n * np.repeat(each, sizes))
     yield from out()
@@ -158,12 +169,12 @@ def _merged(parts: pa.Table) -> pa.Table:
     return pa.table({"row": row, "n_tokens": sums[0][some].astype(np.int64), "n_known": sums[1][some].astype(np.int64), "base_score": sums[2][some], "score": sums[3][some]})
 
 
-def words_of(texts: DataFrame, key: str, text: str, held_out) -> DataFrame:
-    """Stored words by group of texts: ``word``, ``train`` (its count in training texts), and references to the texts; the row of
-    the end token also lists the texts' keys."""
+def units_of(texts: DataFrame, key: str, text: str, held_out, order: int, across: bool) -> DataFrame:
+    """Stored units by group of texts: ``unit``, ``train`` (its count in training texts), and references to the texts; one row of
+    a group also lists the texts' keys."""
     plain = texts.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("key"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = plain.schema["key"].dataType.simpleString()
-    return stored(map_arrow(plain, _turned, f"word binary, train bigint, base bigint, texts bigint, docs binary, times binary, keys array<{kind}>, held array<boolean>"), "ppm-words")
+    return stored(map_arrow(plain, partial(_turned, order=order, across=across), f"unit binary, train bigint, base bigint, texts bigint, docs binary, times binary, keys array<{kind}>, held array<boolean>"), "ppm-units")
 
 
 def gram_log_p(grams: DataFrame, order: int) -> DataFrame:
@@ -199,24 +210,26 @@ def gram_log_p(grams: DataFrame, order: int) -> DataFrame:
     return stored(every, "ppm-grams")
 
 
-def score(texts: DataFrame, held_out, key: str = "doc_id", text: str = "text", order: int = 5) -> DataFrame:
+def score(texts: DataFrame, held_out, key: str = "doc_id", text: str = "text", order: int = 5, across: bool = False) -> DataFrame:
     """One row per input row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     ``held_out`` is a boolean column; rows where it is true are not learned from (null: learned from). Tokens are the words in
     lower-case A-Z and one end. ``base_score`` sums log10((c + 1) / (N + V + 1)) over the tokens (c: training count, N: all
     training tokens, V: distinct ones); ``score`` is the model's log10 probability of the text. A null or empty text is the end
-    token alone. Repeated rows count and are scored each. No rows give none.
+    token alone. With ``across``, contexts run over the starts of words. Repeated rows count and are scored each. No rows give none.
     """
-    turned = words_of(texts, key, text, held_out)
-    words = stored(turned.groupBy("word").agg(F.sum("train").alias("count")).withColumn("word_key", F.xxhash64("word")), "ppm-counts")
+    turned = units_of(texts, key, text, held_out, order, across)
+    word = F.substring("unit", order + 1, 2**31 - 1)
+    units = stored(turned.groupBy("unit").agg(F.sum("train").alias("train")).withColumn("unit_key", F.xxhash64("unit")).withColumn("word", word), "ppm-unit-counts")
+    words = stored(units.groupBy("word").agg(F.sum("train").alias("count")), "ppm-counts")
     sums = words.agg(F.sum("count").alias("n"), F.count(F.when(F.col("count") > 0, 1)).alias("v")).first()
     n, v = sums["n"] or 0, sums["v"]
-    spelled = map_arrow(words.select("word", "word_key", "count"), partial(_grams, order=order), "word_key bigint, train bigint, gram bigint")
+    spelled = map_arrow(units.select("unit", "unit_key", "train"), partial(_grams, order=order), "unit_key bigint, train bigint, gram bigint")
     grams = stored(spelled.groupBy("gram").agg(F.sum("train").alias("train")), "ppm-all-grams")
-    by_word = spelled.select("gram", "word_key").join(gram_log_p(grams, order), "gram").groupBy("word_key").agg(F.sum("log_p").alias("log_p"))
+    by_unit = spelled.select("gram", "unit_key").join(gram_log_p(grams, order), "gram").groupBy("unit_key").agg(F.sum("log_p").alias("log_p"))
     flat = F.log10((F.col("count") + 1) / F.lit(float(n + v + 1)))
-    scored = stored(words.join(by_word, "word_key").select("word", "count", flat.alias("base_log"), "log_p"), "ppm-scored")
-    met = turned.select("word", "base", "texts", "docs", "times").join(scored, "word")
+    scored = stored(units.join(by_unit, "unit_key").join(words, "word").select("unit", "count", flat.alias("base_log"), "log_p"), "ppm-scored")
+    met = turned.select("unit", "base", "texts", "docs", "times").join(scored, "unit")
     parts = map_arrow(met, _summed, "block bigint, sums binary")
     per_text = parts.groupBy("block").applyInArrow(_merged, "row bigint, n_tokens bigint, n_known bigint, base_score double, score double")
     listed = turned.where(F.col("keys").isNotNull()).select("base", F.posexplode(F.arrays_zip("keys", "held")).alias("i", "k"))

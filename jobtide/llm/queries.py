@@ -45,7 +45,7 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
-    return ppm.score(_documents(spark, sf_dir), held_out)
+    return ppm.score(_documents(spark, sf_dir), held_out, across=True)
 
 
 def op6_bit_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -359,6 +359,38 @@ def test_ppm_equals_brute_force(spark, odd, none, monkeypatch):
     assert ppm.score(none, held).count() == 0
 
 
+def test_ppm_across_words_equals_brute_force(spark, odd, monkeypatch):
+    monkeypatch.setattr(ppm, "CHUNK_TEXTS", 4)
+    rows = [(r.doc_id, r.text) for r in odd.collect()] + [(50, "moon rise above quiet hills near"), (51, "near hills quiet above rise moon"), (61, "moon rise above quiet hills near"), (64, "near hills quiet above rise moon")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = lambda i: i is not None and i % 3 == 1
+    found = ppm.score(docs, F.coalesce(F.col("doc_id") % 3 == 1, F.lit(False)), order=4, across=True).collect()
+    spelled = lambda t: b"    " + b"".join(w + b" " for w in (t or "").encode().lower().split()) + b"\n"
+    counts = defaultdict(Counter)
+    for i, t in rows:
+        s = spelled(t)
+        for at in range(4, 0 if held(i) else len(s)):
+            for k in range(5):
+                counts[s[at - k : at]][s[at]] += 1
+
+    def log_p(s, at):
+        total, gone = 0.0, set()
+        for k in range(4, -1, -1):
+            seen = {b: c for b, c in counts.get(s[at - k : at], {}).items() if b not in gone}
+            mass = sum(seen.values())
+            if s[at] in seen:
+                return total + log10(seen[s[at]] / (mass + len(seen)))
+            if seen:
+                total += log10(len(seen) / (mass + len(seen)))
+                gone |= set(seen)
+        return total - log10(256 - len(gone))
+
+    want = Counter((i, len((t or "").encode().split()) + 1, round(sum(log_p(s, at) for at in range(4, len(s))), 4)) for i, t in rows for s in [spelled(t)])
+    assert Counter((r.doc_id, r.n_tokens, round(r.score, 4)) for r in found) == want
+    score = {r.doc_id: r.score for r in found}
+    assert score[61] > score[64] and abs(score[61] - score[64]) > 0.1
+
+
 def test_personal_data_spans(spark):
     text = "Mail a.b@x.example.org, a@b@c.de or x@y; 10.0.0.256 1.2.3.4 0001.2.3.4.5 4918187128635271 4918 1871-2863 5272 +1 (625) 555-7196 +12 é😀 z@q.io"
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
