@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import bitpack, disclosure, exact_dedup, license_digest, minhash_join, mixing, packing, ppm, preference_chat, quality_rules
+from jobtide.llm import bitpack, disclosure, exact_dedup, license_digest, minhash_join, mixing, packing, ppm, preference_chat, quality_rules, url_trie
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 
@@ -69,9 +69,19 @@ def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.find_personal(_documents(spark, sf_dir))
 
 
+#: The entries of the URL filter's query: host, path, action.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op12_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_trie.judge_urls(pages, rules, keep=["page_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_preference_pairs, op3_license_digest, op4_mix_sources, op5_ppm_score, op6_bit_ids, op7_best_fit_packing, op8_exact_dedup, op9_minhash_join, op10_disclosure)
+    for f in (op1_quality_rules, op2_preference_pairs, op3_license_digest, op4_mix_sources, op5_ppm_score, op6_bit_ids, op7_best_fit_packing, op8_exact_dedup, op9_minhash_join, op10_disclosure, op12_url_trie)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -157,4 +167,15 @@ links AS (
 reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
 roots AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN roots USING (doc_id)""",
+    "op12_url_trie": rf"""
+WITH u AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(rule_host, rule_path, verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+seen AS (SELECT DISTINCT host, path FROM u),
+best AS (
+  SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(verdict, length(rule_host || rule_path)) AS verdict
+  FROM seen JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY host, path)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN best USING (host, path)""",
 }
