@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import bitpack, disclosure, exact_dedup, license_digest, minhash_join, mixing, packing, ppm, preference_chat, quality_rules, url_trie
+from jobtide.llm import bitpack, disclosure, divergence, exact_dedup, license_digest, minhash_join, mixing, packing, ppm, preference_chat, prefix_trie, quality_rules, url_trie
+from jobtide.llm.frames import stored
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 
@@ -69,6 +70,10 @@ def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.find_personal(_documents(spark, sf_dir))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_documents(spark, sf_dir))
+
+
 #: The entries of the URL filter's query: host, path, action.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -79,9 +84,15 @@ def op12_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trie.judge_urls(pages, rules, keep=["page_id"])
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    keys = stored(prefix_trie.turn_keys(conversations), "turn-keys")
+    return prefix_trie.prefix_nodes(prefix_trie.share_openings(keys))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_preference_pairs, op3_license_digest, op4_mix_sources, op5_ppm_score, op6_bit_ids, op7_best_fit_packing, op8_exact_dedup, op9_minhash_join, op10_disclosure, op12_url_trie)
+    for f in (op1_quality_rules, op2_preference_pairs, op3_license_digest, op4_mix_sources, op5_ppm_score, op6_bit_ids, op7_best_fit_packing, op8_exact_dedup, op9_minhash_join, op10_disclosure, op11_source_divergence, op12_url_trie, op13_prefix_trie)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -167,6 +178,35 @@ links AS (
 reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
 roots AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN roots USING (doc_id)""",
+    "op11_source_divergence": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+held AS (SELECT id, lang, source, term, count(*) AS n FROM (SELECT id, lang, source, unnest(terms) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM held GROUP BY lang, term HAVING count(*) >= {divergence.LEAST_DOCUMENTS}),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT lang, source, term, sum(held.n) AS n FROM held JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    (1 + ({divergence.SCALE}::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * l.v))::BIGINT AS p,
+    (1 + ({divergence.SCALE}::HUGEINT * (k.n + 2)) // (l.total + 2 * l.v))::BIGINT AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source),
+compared AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+valued AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN compared c ON c.lang = a.lang AND c.source = a.source AND c.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM valued)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {divergence.RANKS}""",
     "op12_url_trie": rf"""
 WITH u AS (
   SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host,
@@ -178,4 +218,37 @@ best AS (
   SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(verdict, length(rule_host || rule_path)) AS verdict
   FROM seen JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY host, path)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN best USING (host, path)""",
+    "op13_prefix_trie": """
+WITH t AS (
+  SELECT conv_id, turn, strlen(coalesce(text, '')) AS size,
+    substr(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS key
+  FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) AS pos FROM t),
+names AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+rebuilt AS (
+  SELECT n.conv_id, pos, key, size FROM names n JOIN placed p ON p.conv_id = n.base AND pos <= h
+  UNION ALL
+  SELECT conv_id, pos, key, size FROM names JOIN placed USING (conv_id) WHERE pos > h),
+members AS (
+  SELECT conv_id, 0 AS depth, '' AS node, 0 AS size FROM names
+  UNION ALL
+  SELECT conv_id, row_number() OVER w, string_agg(key, '') OVER w, size FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+ranked AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM members),
+nodes AS (
+  SELECT node, min(conv_id) AS conv_id, min(depth) AS depth, min(size) AS size, count(*) AS n,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM ranked GROUP BY node),
+linked AS (
+  SELECT c.*, p.conv_id AS parent, (SELECT count(*) FROM nodes k WHERE k.depth = c.depth + 1 AND left(k.node, length(k.node) - 32) = c.node) AS n_children
+  FROM nodes c LEFT JOIN nodes p ON p.depth = c.depth - 1 AND p.node = left(c.node, length(c.node) - 32)),
+sums AS (
+  SELECT m.node, sum((u.n - 1) * u.size) AS saved, count(*) FILTER (u.n_children = 0) AS leaves
+  FROM linked u JOIN members m ON m.conv_id = u.conv_id AND m.depth <= u.depth GROUP BY m.node)
+SELECT conv_id, depth::BIGINT AS depth, parent AS parent_conv_id, n::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+  leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, ends_sha256
+FROM linked JOIN sums USING (node)""",
 }
