@@ -2,10 +2,77 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, StructType
+
+
+def double_text(value: Column) -> Column:
+    """The shortest decimal text that reads back as the number: plain digits from 0.0001 up to 16 places before the point, else with an
+    exponent of two digits or more (``15000000000.0``, ``1e+16``, ``1.5e-07``)."""
+
+    def parts(text: Column) -> Column:
+        whole, places = F.regexp_extract(text, "^([0-9]+)", 1), F.regexp_extract(text, r"\.([0-9]+)", 1)
+        shift = F.coalesce(F.regexp_extract(text, r"[Ee]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+        digits = F.concat(whole, places)
+        lead = F.length(digits) - F.length(F.ltrim(digits, F.lit("0")))
+        return F.struct(F.rtrim(F.ltrim(digits, F.lit("0")), F.lit("0")).alias("digits"), (F.length(whole) + shift - lead).alias("point"))
+
+    def written(p: Column) -> Column:
+        """The number 0.digits times ten to the power of point."""
+        d, point, size = p["digits"], p["point"], F.length(p["digits"])
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), d)
+        whole = F.concat(d, F.repeat(F.lit("0"), point - size), F.lit(".0"))
+        inside = F.concat(F.substr(d, F.lit(1), point), F.lit("."), F.substr(d, point + 1))
+        power = F.abs(point - 1).cast("string")
+        tail = F.concat(F.when(point > 0, F.lit("e+")).otherwise(F.lit("e-")), F.when(F.length(power) < 2, F.concat(F.lit("0"), power)).otherwise(power))
+        long = F.concat(F.substr(d, F.lit(1), F.lit(1)), F.when(size > 1, F.concat(F.lit("."), F.substr(d, F.lit(2)))).otherwise(""), tail)
+        plain = F.when(point <= 0, small).when(point >= size, whole).otherwise(inside)
+        return F.when((point < -3) | (point > 16), long).otherwise(plain)
+
+    exact = F.abs(value).cast("string")
+    # The platform's text is at times longer than need be, by two digits at most.
+    size = F.length(F.regexp_replace(F.regexp_replace(exact, "E.*$", ""), r"\D", ""))
+
+    def rounded(less: int) -> Column:
+        places = F.greatest(size - 1 - less, F.lit(0)).cast("string")
+        text = F.call_function("format_string", F.concat(F.lit("%."), places, F.lit("e")), F.abs(value))
+        return F.when(text.try_cast("double") == F.abs(value), text)
+
+    def cut(less: int) -> Column:
+        digits = F.regexp_extract(exact, "^[0-9.]+", 0)
+        text = F.concat(F.substr(digits, F.lit(1), F.length(digits) - less), F.regexp_extract(exact, "E.*$", 0))
+        return F.when(text.try_cast("double") == F.abs(value), text)
+
+    best = F.coalesce(rounded(2), cut(2), rounded(1), cut(1), exact)
+    unsigned = F.transform(F.array(parts(best)), written)[0]
+    sign = F.when(F.startswith(value.cast("string"), F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    return F.when(F.isnan(value) | (F.abs(value) == float("inf")), value.cast("string")).when(value == 0, F.concat(sign, F.lit("0.0"))).otherwise(F.concat(sign, unsigned))
+
+
+def _has_double(data_type: DataType) -> bool:
+    if isinstance(data_type, StructType):
+        return any(_has_double(f.dataType) for f in data_type.fields)
+    return isinstance(data_type, (DoubleType, FloatType)) or isinstance(data_type, ArrayType) and _has_double(data_type.elementType)
+
 
+def _json(col: Column, data_type: DataType) -> Column:
+    """JSON text of a value, ``null`` for null."""
+    if isinstance(data_type, StructType):
+        fields = sorted(data_type.fields, key=lambda f: f.name)
+        inner = [F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ":"), _json(col[f.name], f.dataType)) for f in fields]
+        text = F.concat(F.lit("{"), F.concat_ws(",", *inner), F.lit("}"))
+    elif isinstance(data_type, ArrayType) and _has_double(data_type):
+        text = F.concat(F.lit("["), F.array_join(F.transform(col, lambda x: _json(x, data_type.elementType)), ","), F.lit("]"))
+    elif isinstance(data_type, (DoubleType, FloatType)):
+        text = double_text(col.cast("double"))
+    else:
+        whole = F.to_json(F.struct(col.alias("v")), {"ignoreNullFields": "false"})
+        text = F.substring(whole, 6, 2**31 - 1)
+        text = F.substr(text, F.lit(1), F.length(text) - 1)
+    return F.when(col.isNull(), F.lit("null")).otherwise(text)
 
 
 def _sorted_struct(col: Column, data_type: DataType) -> Column:
@@ -16,8 +83,12 @@ def _sorted_struct(col: Column, data_type: DataType) -> Column:
 
 
 def canonical_json(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """Compact JSON of a row with sorted keys at every level and nulls written out."""
+    """Compact JSON of a row with sorted keys at every level and nulls written out; floating numbers in their shortest text
+    (``double_text``), also in structs and arrays. Within maps they stay as Spark writes them."""
     names = sorted(columns or df.columns)
+    if any(_has_double(df.schema[n].dataType) for n in names):
+        pairs = [F.concat(F.lit(json.dumps(n, ensure_ascii=False) + ":"), _json(F.col(f"`{n}`"), df.schema[n].dataType)) for n in names]
+        return F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
     fields = [_sorted_struct(F.col(n), df.schema[n].dataType).alias(n) for n in names]
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
+from dataclasses import dataclass
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -29,24 +31,51 @@ def snake_header(name: str) -> str:
     return re.sub(r"[\W_]+", "_", _without_accents(name).strip().lower()).strip("_")
 
 
-@lru_cache(maxsize=1)
-def _accent_table() -> tuple[str, str, list[tuple[str, str]]]:
-    """Latin letters with their plain form, computed from the Unicode decomposition (U+00A0 to U+024F).
+@dataclass(frozen=True)
+class _Letters:
+    """How letters beyond ASCII lose their accents, computed from Python's own Unicode tables, which also decide on the driver.
 
-    One-to-one pairs come as two texts for ``translate``; the few that expand to several letters as a list.
+    ``source`` and ``target`` are two texts for ``translate``: a letter of ``source`` becomes the one at its place in ``target``, or nothing
+    beyond its end (marks); ``fold_source`` and ``fold_target`` do the same for comparisons without case. Letters that become several
+    become ``_SEVERAL`` there; ``pairs`` has them and what they become. Syllables of Hangul are taken apart by rule instead.
     """
-    source, target, longer = [], [], []
-    for point in range(0xA0, 0x250):
+
+    source: str
+    target: str
+    fold_source: str
+    fold_target: str
+    pairs: str
+
+
+_HANGUL = (0xAC00, 0xD7A3)
+#: Separators of ``pairs``; no letter becomes one of them.
+_PAIR, _NEXT = "\x01", "\x02"
+#: A private character; where a text itself has it, the text is only walked in vain.
+_SEVERAL = "\ue000"
+
+
+@lru_cache(maxsize=1)
+def _letters() -> _Letters:
+    plain, fold, gone, longer = {}, {}, [], []
+    for point in range(0x80, sys.maxunicode + 1):
         char = chr(point)
-        plain = _without_accents(char)
-        if plain == char:
+        if 0xD800 <= point <= 0xDFFF or _HANGUL[0] <= point <= _HANGUL[1]:
             continue
-        if len(plain) == 1:
-            source.append(char)
-            target.append(plain)
+        text = _without_accents(char)
+        if not text:
+            gone.append(char)
+        elif len(text) > 1:
+            longer.append((char, text))
         else:
-            longer.append((char, plain))
-    return "".join(source), "".join(target), longer
+            if text != char:
+                plain[char] = text
+            if len(text.casefold()) == 1 and text.casefold() != char:
+                fold[char] = text.casefold()
+    fold |= {c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+    marks, several = "".join(gone), {c: _SEVERAL for c, _ in longer}
+    plain, fold = plain | several, fold | several
+    texts = ["".join(plain) + marks, "".join(plain.values()), "".join(fold) + marks, "".join(fold.values())]
+    return _Letters(*texts, _NEXT.join(c + _PAIR + t for c, t in longer))
 
 
 def is_ascii(col: Column) -> Column:
@@ -54,22 +83,39 @@ def is_ascii(col: Column) -> Column:
     return F.octet_length(col) == F.char_length(col)
 
 
+def _syllable(char: Column) -> Column:
+    """The letters of a Hangul syllable: 19 first, 21 middle and 27 last ones, in order of the syllables."""
+    number = F.ascii(char) - _HANGUL[0]
+    letter = lambda first, i: F.substring(F.lit("".join(map(chr, range(first, first + 28)))), i + 1, F.lit(1))
+    last = number % 28
+    ends = F.when(last > 0, letter(0x11A8, last - 1)).otherwise("")
+    return F.concat(letter(0x1100, F.floor(number / 588).cast("int")), letter(0x1161, F.floor(number % 588 / 28).cast("int")), ends)
+
+
+def _translated(col: Column, source: str, target: str) -> Column:
+    """Letter for letter. A text with a letter that becomes several, which is rare, is first walked to put them in its place."""
+    low, high = map(chr, _HANGUL)
+    pairs = F.str_to_map(F.lit(_letters().pairs), F.lit(_NEXT), F.lit(_PAIR))
+    one = lambda c: F.coalesce(F.try_element_at(pairs, c), F.when(c.between(low, high), _syllable(c)), c)
+    walked = F.array_join(F.transform(F.regexp_extract_all(col, F.lit("(?s)."), F.lit(0)), one), "")
+    quick = F.translate(col, source, target)
+    whole = lambda text: F.when(F.contains(text, F.lit(_SEVERAL)) | col.rlike(f"[{low}-{high}]"), F.translate(walked, source, target)).otherwise(text)
+    return F.transform(F.array(quick), whole)[0]
+
+
 def strip_accents(col: Column) -> Column:
-    """Text without accents for Latin scripts, built-in functions only. ASCII text is returned as it is."""
-    source, target, longer = _accent_table()
-    plain = F.translate(F.regexp_replace(col, r"\p{M}", ""), source, target)
-    # The few letters that expand to several are rare: only a text that has one is walked letter by letter.
-    pairs = F.create_map(*[F.lit(part) for pair in longer for part in pair])
-    letters = F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(pairs, c), c))
-    rare = "[" + "".join(char for char, _ in longer) + "]"
-    return F.when(is_ascii(col), col).when(col.rlike(rare), F.array_join(letters, "")).otherwise(plain)
+    """Text in its compatible decomposition without marks, for all of Unicode, built-in functions only. ASCII text is returned as it is."""
+    letters = _letters()
+    return F.when(is_ascii(col), col).otherwise(_translated(col, letters.source, letters.target))
 
 
 def comparable_value(col: Column) -> Column:
-    """Value for comparison with a contract: no accents, lower case, single blanks, trimmed. Null becomes ``""``."""
+    """Value for comparison with a contract: no accents, no case, single blanks, trimmed. Null becomes ``""``."""
+    letters = _letters()
     text = F.coalesce(col, F.lit(""))
-    folded = F.replace(F.lower(strip_accents(text)), F.lit("ß"), F.lit("ss"))
-    return F.trim(F.regexp_replace(folded, _BLANKS + "+", " "))
+    # The only letter without marks that has two letters in its place; its capital is folded by the same rule.
+    folded = F.replace(F.replace(_translated(text, letters.fold_source, letters.fold_target), F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("ss"))
+    return F.trim(F.regexp_replace(F.when(is_ascii(text), F.lower(text)).otherwise(folded), _BLANKS + "+", " "))
 
 
 def snake_header_column(col: Column) -> Column:
@@ -78,6 +124,11 @@ def snake_header_column(col: Column) -> Column:
     return F.trim(words, F.lit("_"))
 
 
+def compact_header_column(col: Column) -> Column:
+    """:func:`compact_header` as a column expression."""
+    return F.regexp_replace(F.lower(strip_accents(col)), "[^a-z0-9]", "")
+
+
 def digits_only(col: Column) -> Column:
     return F.regexp_replace(col, r"\D", "")
 

@@ -61,27 +61,45 @@ def concept_columns(matches: DataFrame) -> dict[str, dict[str, str]]:
     return out
 
 
+#: Values that a summary row shows if the caller names no other number; the functions below give all of them as rows.
 LISTED_VALUES = 50
 
 
-def _listed(values: DataFrame) -> Column:
-    """The first values in order, as a sorted array. Every task keeps ``LISTED_VALUES`` of them, so a column full of
+def _listed(values: DataFrame, most: int) -> Column:
+    """The first values in order, as a sorted array. Every task keeps ``most`` of them, so a column full of
     distinct values is never gathered."""
-    first = values.distinct().orderBy(values.columns[0]).limit(LISTED_VALUES)
+    first = values.distinct().orderBy(values.columns[0]).limit(most)
     return first.agg(F.sort_array(F.collect_list(values.columns[0]))).scalar()
 
 
+def classified_values(counts: DataFrame, positive: Iterable[str], negative: Iterable[str]) -> DataFrame:
+    """Every observed value of a two-valued column as a row: (value, class, n), class being positive, negative, blank or unknown.
+
+    ``counts`` has (value, n); spellings that compare equal are one value.
+    """
+    value = F.col("value")
+    kind = F.when(value == "", "blank").when(value.isin(list(positive)), "positive").when(value.isin(list(negative)), "negative").otherwise("unknown")
+    seen = counts.select(comparable_value(F.col("value")).alias("value"), "n").groupBy("value").agg(F.sum("n").alias("n"))
+    return seen.select("value", kind.alias("class"), "n")
+
+
+def observed_values(counts: DataFrame) -> DataFrame:
+    """Every observed value, compared as contracts do, with its number: (value, n) rows, none left out."""
+    return counts.select(comparable_value(F.col("value")).alias("value"), "n").groupBy("value").agg(F.sum("n").alias("n"))
+
+
 def binary_value_contract(
     counts: DataFrame,
     positive: Iterable[str],
     negative: Iterable[str],
     reject_unknown: bool = True,
     reject_blank: bool = True,
+    listed: int = LISTED_VALUES,
 ) -> DataFrame:
     """Check the observed values of a two-valued column.
 
     ``counts`` has (value, n), one row per distinct raw value. The result is one row: the sorted values seen in each
-    class, the first unknown values and how many unknown values there are, the number of blanks, and ``valid``, which
+    class, the first ``listed`` unknown values and how many there are (``classified_values`` gives them all), the number of blanks, and ``valid``, which
     asks for both classes, no unknown value and no blank.
     """
     positive, negative = list(positive), list(negative)
@@ -97,7 +115,7 @@ def binary_value_contract(
         seen_of(negative).alias("negative_observed"),
         F.count_distinct(F.when(unknown, F.col("v"))).alias("unknown_count"),
         F.coalesce(F.sum(F.when(blank, F.col("n"))), F.lit(0)).alias("blank_values"),
-    ).withColumn("unknown_values", _listed(seen.where(unknown).select("v")))
+    ).withColumn("unknown_values", _listed(seen.where(unknown).select("v"), listed))
     valid = (F.size("positive_observed") > 0) & (F.size("negative_observed") > 0)
     if reject_unknown:
         valid &= F.col("unknown_count") == 0
@@ -106,11 +124,11 @@ def binary_value_contract(
     return result.withColumn("valid", valid)
 
 
-def year_contract(values: DataFrame, year: int) -> DataFrame:
-    """The observed years are exactly the requested one."""
+def year_contract(values: DataFrame, year: int, listed: int = LISTED_VALUES) -> DataFrame:
+    """The observed years are exactly the requested one; the first ``listed`` are shown (``observed_values`` gives them all)."""
     seen = values.select(comparable_value(F.col("value")).alias("v"))
     same = F.coalesce(F.bool_and(F.col("v") == str(year)), F.lit(False))
-    return seen.agg(same.alias("valid")).withColumn("observed", _listed(seen))
+    return seen.agg(same.alias("valid")).withColumn("observed", _listed(seen, listed))
 
 
 def municipality_dimension_check(codes: DataFrame, dimension: DataFrame) -> DataFrame:

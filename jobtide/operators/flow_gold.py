@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from jobtide.errors import ConsistencyError
@@ -11,6 +10,8 @@ from jobtide.fixed_values import RESIDUAL_MUNICIPALITY, RESIDUAL_MUNICIPALITY_NA
 from jobtide.functions.movement import with_base_deltas
 from jobtide.functions.rates import deflate, per_100k, price_ratio
 from jobtide.functions.salary import ELIGIBLE
+from jobtide.operators.joins import evaluate_once
+from jobtide.operators.selection import weighted_medians
 
 COUNTS = ["admissions", "dismissals", "balance"]
 SALARY = ["salary_mean_admissions", "salary_median_admissions", "salary_eligible_admissions"]
@@ -73,20 +74,17 @@ def _with_pay(flow: DataFrame) -> DataFrame:
 def _statistics(per_salary: DataFrame, by: list[str]) -> DataFrame:
     """Counts and salary statistics from rows already summed per group and exact salary.
 
-    The hire deltas of one exact salary are netted before weights that are not positive are dropped. The median is
-    found by a running weight, so a task never holds a group in memory: it streams one sorted row per distinct
-    salary and spills when needed. Mean sums are decimal, hence equal on every run.
+    The hire deltas of one exact salary are netted before weights that are not positive are dropped. The median is selected by
+    buckets (``weighted_medians``); counts and means are plain sums. Mean sums are decimal, hence equal on every run.
     """
     weight = F.when(F.col(_PAY).isNotNull() & (F.col("admissions") > 0), F.col("admissions"))
-    group = W.partitionBy(*by)
-    ordered = group.orderBy(_PAY).rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = per_salary.withColumn("__w", weight).withColumns(
-        {"__upto": F.sum("__w").over(ordered), "__total": F.sum("__w").over(group)}
-    )
-    return ranked.groupBy(*by).agg(
+    # The boundary keeps the rows one shuffle that counts, histogram and open buckets all read.
+    rows = evaluate_once(per_salary.withColumn("__w", weight))
+    medians = weighted_medians(rows, by, _PAY, "__w").select(*by, F.col("median").alias("__median"))
+    return rows.unionByName(medians, allowMissingColumns=True).groupBy(*by).agg(
         *[F.sum(name).alias(name) for name in [*COUNTS, "records"]],
         _mean(F.col(_PAY), F.col("__w")).alias("salary_mean_admissions"),
-        _median(F.col(_PAY), F.col("__w"), F.col("__upto"), F.col("__total")).alias("salary_median_admissions"),
+        F.max("__median").alias("salary_median_admissions"),
         F.coalesce(F.sum("__w"), F.lit(0)).alias("salary_eligible_admissions"),
     )
 
@@ -96,16 +94,6 @@ def _mean(value: Column, weight: Column) -> Column:
     return F.sum(product).cast("double") / F.sum(weight)
 
 
-def _median(value: Column, weight: Column, upto: Column, total: Column) -> Column:
-    """Mean of the values at positions ceil(n/2) and floor(n/2)+1, which coincide for an odd total."""
-    lower, upper = F.floor((total + 1) / 2), F.floor(total / 2) + 1
-
-    def value_at(position: Column) -> Column:
-        return F.min(F.when(weight.isNotNull() & (upto >= position), value))
-
-    return (value_at(lower) + value_at(upper)) / 2
-
-
 def group_table(flow: DataFrame, by: list[str]) -> DataFrame:
     """Hires, terminations, balance and salary statistics per group.
 
@@ -150,14 +138,8 @@ def overview(flow: DataFrame, by: list[str]) -> DataFrame:
 
 def weighted_median(df: DataFrame, by: list[str], value: str, weight: str) -> DataFrame:
     """Weighted median per group of whole-number weights. Weights are netted per value; only positive ones count."""
-    netted = df.groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.sum(weight).alias("__w")).where("__w > 0")
-    group = W.partitionBy(*by)
-    upto = F.sum("__w").over(group.orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow))
-    ranked = netted.withColumns({"__upto": upto, "__total": F.sum("__w").over(group)})
-    return ranked.groupBy(*by).agg(
-        F.sum("__w").cast("bigint").alias("total_weight"),
-        _median(F.col("__v"), F.col("__w"), F.col("__upto"), F.col("__total")).alias("weighted_median"),
-    )
+    netted = evaluate_once(df.groupBy(*by, F.col(value).cast("double").alias("__value")).agg(F.sum(weight).alias("__weight")))
+    return weighted_medians(netted, by, "__value", "__weight").withColumnRenamed("median", "weighted_median")
 
 
 # ---------------------------------------------------------------------------------------------------------------

@@ -141,8 +141,10 @@ def profile_observed_values(counts: DataFrame, by: list[str], limit: int = 50) -
     return listed.select(*by, F.when(F.size("v") <= limit, F.col("v")).alias("observed_values"))
 
 
-def first_rows_per_file(df: DataFrame, file: str, order: list[str], limit: int) -> DataFrame:
-    """The first ``limit`` rows of each file: a controlled sample, kept per task before the shuffle."""
+def first_rows_per_file(df: DataFrame, file: str, order: list[str], limit: int | None = None) -> DataFrame:
+    """The first ``limit`` rows of each file, kept per task before the shuffle; without a limit every row, and nothing is shuffled."""
+    if limit is None:
+        return df
     position = F.row_number().over(W.partitionBy(file).orderBy(*order))
     return df.withColumn("__position", position).where(F.col("__position") <= limit).drop("__position")
 

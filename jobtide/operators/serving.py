@@ -11,6 +11,7 @@ from jobtide.errors import ConsistencyError, NotApprovedError
 from jobtide.fixed_values import POPULATION_MINIMUM_ENTRIES, RESIDUAL_MUNICIPALITY, TOLERATED_BEFORE_ENRICHMENT
 from jobtide.functions.periods import month_start
 from jobtide.operators.flow_gold import with_population_rates
+from jobtide.sources.releases import publish
 from jobtide.sources.tables import replace_partitions, require_row_counts
 
 COUNTS = ["admissions", "dismissals", "balance"]
@@ -119,15 +120,21 @@ def serving_municipalities(by_municipality: DataFrame) -> DataFrame:
     return _serve(by_municipality, municipality_problem(), {**names, **_METRICS, **{c: c for c in places}})
 
 
-def load_serving(spark: SparkSession, tables: ServingTables, root: str, gates: DataFrame) -> None:
-    """Load the months whose gate is publishable, replacing them, and compare the stored row counts.
-
-    A month in the tables without a publishable gate is an error, before anything is written.
-    """
+def require_approved(release: DataFrame, gates: DataFrame) -> None:
+    """Every month of a release needs a publishable gate."""
     allowed = gates.where("publishable").select(month_start(F.col("competence")).alias("competence")).distinct()
-    blocked = tables.release.select("competence").join(allowed, "competence", "left_anti").limit(1).collect()
+    blocked = release.select("competence").join(allowed, "competence", "left_anti").limit(1).collect()
     if blocked:
         raise NotApprovedError(f"{blocked[0].competence:%Y%m} is not approved for serving")
+
+
+def load_serving(spark: SparkSession, tables: ServingTables, root: str, gates: DataFrame) -> None:
+    """Load the months whose gate is publishable, replacing them table by table, and compare the stored row counts.
+
+    A month in the tables without a publishable gate is an error, before anything is written. Readers that must never see months of two
+    loads use :func:`load_release`.
+    """
+    require_approved(tables.release, gates)
     frames = [tables.release, tables.uf, tables.occupation, tables.municipality]
     for name, frame in zip(SERVING_TABLES, frames, strict=True):
         months = tables.release.select("competence").distinct()
@@ -135,6 +142,18 @@ def load_serving(spark: SparkSession, tables: ServingTables, root: str, gates: D
         require_row_counts(spark, f"{root}/{name}", frame, "competence", months)
 
 
+def load_release(spark: SparkSession, tables: ServingTables, root: str, gates: DataFrame) -> int:
+    """Load the months of ``tables.release`` into all four tables at once: readers see the old release until the new one is complete, and keep it if
+    the load fails. Months without a publishable gate, and invalid rows, stop the load. Returns the number of the release."""
+    require_approved(tables.release, gates)
+    frames = [tables.release, tables.uf, tables.occupation, tables.municipality]
+    # One row per month; a month twice would be two releases of one month.
+    months = [str(r.competence) for r in tables.release.select("competence").collect()]
+    if len(set(months)) != len(months):
+        raise ConsistencyError("a month has two release rows")
+    return publish(spark, root, dict(zip(SERVING_TABLES, frames, strict=True)), months)
+
+
 def latest_release(release: DataFrame) -> DataFrame:
     """The newest publishable release, as one row."""
     rows = release.where("publishable")

@@ -107,6 +107,29 @@ def adjustment_breakdown(spark, sf_dir):
     return flow_gold.adjustment_breakdown(binding.flow(spark, sf_dir, "competence"), ["competence"])
 
 
+def _cent_median(keys: str) -> str:
+    part = f"PARTITION BY {keys}" if keys else ""
+    shown, grouped = (f"{keys},", f"GROUP BY {keys}") if keys else ("", "")
+    return f"""(WITH v AS (SELECT {shown} l_extendedprice AS pay, SUM(CAST(l_quantity AS BIGINT)) AS w FROM lineitem GROUP BY {shown} pay),
+    p AS (SELECT *, SUM(w) OVER ({part} ORDER BY pay) AS cum, SUM(w) OVER ({part}) AS tot FROM v)
+    SELECT {shown} CAST(MAX(tot) AS BIGINT) AS total_weight,
+      (MIN(CASE WHEN 2 * cum >= tot THEN pay END) + MIN(CASE WHEN 2 * cum > tot THEN pay END)) / 2 AS weighted_median
+    FROM p {grouped})"""
+
+
+@query(
+    "cent_value_medians",
+    f"""SELECT 'all' AS level, CAST(NULL AS VARCHAR) AS flag, total_weight, weighted_median FROM {_cent_median("")}
+    UNION ALL SELECT 'flag', l_returnflag, total_weight, weighted_median FROM {_cent_median("l_returnflag")}""",
+)
+def cent_value_medians(spark, sf_dir):
+    """Medians of uncapped values to the cent, over everything and by flag: groups with nearly as many values as rows."""
+    rows = binding.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice", F.col("l_quantity").cast("bigint").alias("quantity"))
+    whole = flow_gold.weighted_median(rows, [], "l_extendedprice", "quantity").select(F.lit("all").alias("level"), F.lit(None).cast("string").alias("flag"), "total_weight", "weighted_median")
+    by_flag = flow_gold.weighted_median(rows, ["l_returnflag"], "l_extendedprice", "quantity")
+    return whole.unionByName(by_flag.select(F.lit("flag").alias("level"), F.col("l_returnflag").alias("flag"), "total_weight", "weighted_median"))
+
+
 @query(
     "weighted_median",
     f"""WITH {FLOW}, v AS (SELECT cbo_familia, pay, SUM(CAST(l_quantity AS BIGINT)) AS w FROM f GROUP BY cbo_familia, pay),

@@ -252,6 +252,23 @@ def profile_first_rows_per_file(spark, sf_dir):
     return quality.profile_by_file_and_overall(sample, "file", ["o_orderstatus", "o_custkey"])
 
 
+@query(
+    "profile_whole_files",
+    f"""WITH {_SAMPLE.replace(" WHERE rn <= 1000", "")} SELECT file, concept, COUNT(*) AS non_blank, CAST(0 AS BIGINT) AS blank, COUNT(DISTINCT value) AS distinct_in_sample,
+      COUNT(*) FILTER (regexp_full_match(value, '[0-9]+')) AS digits_only FROM s GROUP BY GROUPING SETS ((file, concept), (concept))""",
+)
+def profile_whole_files(spark, sf_dir):
+    """Every row of each part, profiled per part and over all parts."""
+    orders = binding.table(spark, sf_dir, "orders").withColumn("file", F.col("o_orderpriority"))
+    return quality.profile_by_file_and_overall(quality.first_rows_per_file(orders, "file", ["o_orderkey"]), "file", ["o_orderstatus", "o_custkey"])
+
+
+@query("value_profile_counts", f"WITH {_COUNTS} SELECT concept, value, CAST(n AS BIGINT) AS n FROM c")
+def value_profile_counts(spark, sf_dir):
+    """Every value of every profiled column with its number, none cut off."""
+    return _profile(spark, sf_dir)
+
+
 @query(
     "derived_year_profile",
     """SELECT o_orderpriority AS file, COUNT(*) AS rows_profiled, COUNT(*) AS non_blank, CAST(0 AS BIGINT) AS blank,

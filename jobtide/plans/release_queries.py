@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import dataclasses
 from datetime import date
+from functools import reduce
 
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobtide.errors import ConsistencyError, NotApprovedError
 from jobtide.functions.fingerprints import record_fingerprint, release_fingerprint, row_set_fingerprint
 from jobtide.functions.periods import month_of
 from jobtide.operators import analytics, checks, deployment, flow_gold, gates, history, official, quality, serving, stock
@@ -14,8 +19,9 @@ from jobtide.plans.oracle_sql import COUNTS, FLOW, STOCK, TEXT
 from jobtide.plans.quality_queries import silver
 from jobtide.operators.flow_silver import flow_silver
 from jobtide.plans.registry import query
-from jobtide.sources import dimensions, documents, manifests, tables
-from jobtide.sources.flow_text import read_flow_text, with_flow_names
+from jobtide.sources import dimensions, documents, manifests, releases, tables
+from jobtide.sources.files import first_lines, list_files
+from jobtide.sources.flow_text import header_contract, read_flow_files, read_flow_rows
 
 METRICS = ["admissions", "dismissals", "balance"]
 
@@ -143,13 +149,13 @@ def reference_problems(spark, sf_dir):
 
 @query(
     "month_gaps",
-    """WITH m AS (SELECT DISTINCT date_trunc('month', o_orderdate) AS m FROM orders WHERE o_totalprice > 1000 AND month(o_orderdate) <> 7)
+    """WITH m AS (SELECT DISTINCT date_trunc('month', o_orderdate) AS m FROM orders WHERE month(o_orderdate) <> 7)
     SELECT strftime(m, '%Y%m') AS competence, strftime(m + INTERVAL 1 MONTH, '%Y%m') AS next_expected FROM m
     WHERE m + INTERVAL 1 MONTH NOT IN (SELECT m FROM m) AND m < (SELECT MAX(m) FROM m)""",
 )
 def month_gaps(spark, sf_dir):
     """Months of orders when one calendar month is never published."""
-    orders = binding.table(spark, sf_dir, "orders").where((F.col("o_totalprice") > 1000) & (F.month("o_orderdate") != 7))
+    orders = binding.table(spark, sf_dir, "orders").where(F.month("o_orderdate") != 7)
     return official.month_gaps(orders.select(month_of(F.col("o_orderdate")).alias("competence")))
 
 
@@ -541,33 +547,110 @@ def serving_release(spark, sf_dir):
 
 @query(
     "serving_latest_states",
-    f"""WITH {FLOW}, {_GATES} SELECT competence || '01' AS competence, lpad(regexp_replace(uf, '\\D', '', 'g'), 2, '0') AS uf, {COUNTS} FROM f
-      WHERE kind <> 'EXC' AND competence = (SELECT MAX(competence) FROM g WHERE publishable) GROUP BY f.competence, f.uf ORDER BY admissions DESC, uf LIMIT 10""",
+    f"""WITH {FLOW}, {_GATES} SELECT competence || '01' AS competence, upper(substr(region, 1, 2)) AS uf, {COUNTS} FROM f
+      WHERE competence = (SELECT MAX(competence) FROM g WHERE publishable) GROUP BY f.competence, f.region ORDER BY admissions DESC, uf LIMIT 10""",
 )
 def serving_latest_states(spark, sf_dir):
-    """State rows of the newest publishable release, best ten. Retractions stay out: here a few states have more
-    retractions than terminations in one month, and serving refuses negative counts."""
-    rows = binding.flow(spark, sf_dir, "competence", "uf").where("adjustment_kind <> 'EXC'")
-    state = F.lpad(F.regexp_replace("uf", r"\D", ""), 2, "0")
-    served = serving.serving_states(flow_gold.group_table(rows.withColumn("uf", state), ["competence", "uf"]))
+    """State rows of the newest publishable release, best ten, with late rows and retractions. Regions stand for states: in smaller places a month
+    may have more retractions than terminations, which serving refuses."""
+    rows = binding.flow(spark, sf_dir, "competence", "region").withColumn("uf", F.substring("region", 1, 2))
+    served = serving.serving_states(flow_gold.group_table(rows, ["competence", "uf"]))
     release = _stored_gates(spark, sf_dir).select(F.to_date("competence", "yyyyMM").alias("competence"), "publishable")
     rows = analytics.top(serving.rows_of_latest(served, release), "admissions", "uf", 10)
     return rows.select(F.date_format("competence", "yyyyMMdd").alias("competence"), "uf", *METRICS)
 
 
+_SERVED = {
+    "dataset_release": "'-'", "market_uf": "upper(substr(region, 1, 2))",
+    "market_occupation": "'000' || CAST(CAST(regexp_extract(cbo_familia, '[0-9]+') AS INTEGER) % 5 AS VARCHAR)",
+    "market_municipality": "CAST(CAST(municipio_codigo_caged AS BIGINT) % 5 AS VARCHAR)",
+}
+
+
+@query(
+    "guarded_release_load",
+    f"WITH {FLOW}, {_GATES}, p AS (SELECT f.* FROM f JOIN g ON f.competence = g.competence AND g.publishable) "
+    + " UNION ALL ".join(f"SELECT '{t}' AS table_name, competence || '01' AS competence, {key} AS key, {COUNTS} FROM p GROUP BY ALL" for t, key in _SERVED.items()),
+)
+def guarded_release_load(spark, sf_dir):
+    """Base rows are published, then the months with their late rows and retractions; a load that fails in its last table and one with a month that is not
+    approved change nothing."""
+    root = tables.scratch_path(spark, "release")
+    rows = binding.flow(spark, sf_dir, "competence", "region", "cbo_familia", "municipio_codigo_caged")
+    named = rows.select(
+        "competence", "adjustment_kind", "admissions_delta", "dismissals_delta", "balance_delta", F.substring("region", 1, 2).alias("uf"),
+        F.concat(F.lit("000"), (F.regexp_extract("cbo_familia", "[0-9]+", 0).cast("int") % 5).cast("string")).alias("cbo_familia"),
+        (F.col("municipio_codigo_caged").cast("bigint") % 5).cast("string").alias("municipio_codigo_caged"),
+    )
+    gates = _stored_gates(spark, sf_dir).select("competence", "publishable")
+
+    def served(part, allowed):
+        shown = analytics.published_only(part, analytics.published_months(allowed))
+        overview = _counts(shown, "competence").withColumn("records_tech", F.col("admissions") + F.col("dismissals"))
+        occupations = _counts(shown, "competence", "cbo_familia").withColumn("cbo_codigo", F.concat("cbo_familia", F.lit("05")))
+        return serving.ServingTables(
+            serving.serving_release(overview, overview.select("competence", F.lit(1.0).alias("valid_rate")), overview.select("competence", F.sha2("competence", 256).alias("sha256"))),
+            serving.serving_states(_counts(shown, "competence", "uf")), serving.serving_occupations(occupations),
+            serving.serving_municipalities(_counts(shown, "competence", "municipio_codigo_caged")),
+        )
+
+    whole = served(named, gates)
+    serving.load_release(spark, served(named.where("adjustment_kind = 'MOV'"), gates), root, gates)
+    number = serving.load_release(spark, whole, root, gates)
+    broken = serving.serving_municipalities(_counts(named, "competence", "municipio_codigo_caged").withColumn("admissions", F.lit(-1)))
+    refused = [(dataclasses.replace(whole, municipality=broken), gates), (served(named, gates.withColumn("publishable", F.lit(True))), gates)]
+    for load, allowed in refused:
+        try:
+            serving.load_release(spark, load, root, allowed)
+        except (NotApprovedError, PySparkException):
+            continue
+        raise ConsistencyError("a load that must fail was published")
+    keys = {"dataset_release": F.lit("-"), "market_uf": F.col("uf"), "market_occupation": F.col("cbo_family"), "market_municipality": F.col("municipality_code")}
+    parts = [
+        releases.read_release(spark, root, name, number=number).select(F.lit(name).alias("table_name"), F.date_format("competence", "yyyyMMdd").alias("competence"), key.alias("key"), *METRICS)
+        for name, key in keys.items()
+    ]
+    if len(releases.current_parts(spark, root)) != len(releases.current_parts(spark, root, number)):
+        raise ConsistencyError("a refused load changed the release")
+    return reduce(DataFrame.unionByName, parts)
+
+
+_PROBLEM_KEYS = {
+    "market_uf": ("uf", "length(uf) <> 2", "invalid state"),
+    "market_occupation": ("cbo_familia, cbo_codigo", "length(cbo_familia) <> 8", "invalid occupation code"),
+    "market_municipality": ("municipio_codigo_caged", "CAST(municipio_codigo_caged AS BIGINT) % 7 = 0", "invalid municipality code"),
+    "dataset_release": ("1", "substr(competence, 6, 1) = '5'", "invalid source hash"),
+}
+
+
 @query(
     "serving_problems",
-    f"""WITH {FLOW}, c AS (SELECT competence, cbo_familia, {COUNTS} FROM f WHERE cbo_codigo LIKE '%PROMO' GROUP BY competence, cbo_familia)
-    SELECT CASE WHEN admissions < 0 OR dismissals < 0 THEN 'negative count' WHEN length(cbo_familia) <> 8 THEN 'invalid occupation code' END AS problem,
-      COUNT(*) AS rows FROM c GROUP BY 1""",
+    f"WITH {FLOW}, "
+    + ", ".join(f"{t} AS (SELECT competence, {key}, {COUNTS} FROM f GROUP BY ALL)" for t, (key, _, _) in _PROBLEM_KEYS.items())
+    + " SELECT table_name, problem, COUNT(*) AS rows FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CASE WHEN admissions < 0 OR dismissals < 0 THEN 'negative count' WHEN {bad} THEN '{name}' END AS problem FROM {t}"
+        for t, (_, bad, name) in _PROBLEM_KEYS.items()
+    )
+    + ") GROUP BY ALL",
 )
 def serving_problems(spark, sf_dir):
-    rows = binding.flow(spark, sf_dir, "competence", "cbo_familia", "cbo_codigo").where("cbo_codigo like '%PROMO'")
+    """What keeps rows of the four serving tables from being served, over all rows."""
+    rows = binding.flow(spark, sf_dir, "competence", "uf", "cbo_familia", "cbo_codigo", "municipio_codigo_caged")
+    places = _counts(rows, "competence", "municipio_codigo_caged")
+    marked = F.when(F.col("municipio_codigo_caged").cast("bigint") % 7 == 0, F.concat("municipio_codigo_caged", F.lit("x"))).otherwise(F.col("municipio_codigo_caged"))
+    codes = _counts(rows, "competence", "cbo_familia", "cbo_codigo")
     digits = F.regexp_replace("cbo_familia", r"\D", "")
-    table = _counts(rows, "competence", "cbo_familia").withColumns(
-        {"cbo_familia": F.concat(F.lit("21"), digits), "cbo_codigo": F.lit("212405")}
-    )
-    return table.groupBy(serving.occupation_problem().alias("problem")).agg(F.count(F.lit(1)).alias("rows"))
+    families = F.when(F.length("cbo_familia") == 8, F.lpad(digits, 4, "0")).otherwise(digits)
+    hashes = F.when(F.substring("competence", 6, 1) == "5", F.lit("none")).otherwise(F.sha2("competence", 256))
+    tables_of = {
+        "market_uf": (_counts(rows, "competence", "uf"), serving.state_problem()),
+        "market_occupation": (codes.withColumns({"cbo_familia": families, "cbo_codigo": F.lit("212405")}), serving.occupation_problem()),
+        "market_municipality": (places.withColumn("municipio_codigo_caged", marked), serving.municipality_problem()),
+        "dataset_release": (_counts(rows, "competence").withColumn("source_sha256", hashes), serving.release_problem()),
+    }
+    found = [t.groupBy(problem.alias("problem")).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "problem", "rows") for name, (t, problem) in tables_of.items()]
+    return reduce(DataFrame.unionByName, found)
 
 
 def _places(spark, sf_dir):
@@ -756,11 +839,13 @@ def part_set_problems(spark, sf_dir):
 
 @query(
     "record_fingerprints",
-    """SELECT c_custkey, sha256('{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '","c_name":"' || c_name || '","c_nationkey":' || c_nationkey
-      || ',"note":null}') AS sha256 FROM customer""",
+    """SELECT c_custkey, sha256('{"c_acctbal":' || c_acctbal || ',"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '","c_name":"' || c_name || '","c_nationkey":' || c_nationkey
+      || ',"huge":' || c_acctbal * 1e13 || ',"large":' || c_acctbal * 1e5 || ',"note":null,"small":' || c_acctbal / 1e9 || '}') AS sha256 FROM customer""",
 )
 def record_fingerprints(spark, sf_dir):
-    rows = binding.table(spark, sf_dir, "customer").drop("c_acctbal").withColumn("note", F.lit(None).cast("string"))
+    """All columns of a customer, with balances that other writers put in plain digits or with another exponent."""
+    scaled = {"large": F.col("c_acctbal") * 1e5, "huge": F.col("c_acctbal") * 1e13, "small": F.col("c_acctbal") / 1e9}
+    rows = binding.table(spark, sf_dir, "customer").withColumn("note", F.lit(None).cast("string")).withColumns(scaled)
     return rows.select("c_custkey", record_fingerprint(rows).alias("sha256"))
 
 
@@ -890,13 +975,12 @@ def ambiguous_prefixes(spark, sf_dir):
 @query(
     "price_index_upsert",
     """WITH o AS (SELECT strftime(o_orderdate, '%Y%m') AS month, COUNT(*) AS v FROM orders GROUP BY 1),
-    l AS (SELECT strftime(l_shipdate, '%Y%m') AS month, COUNT(*) AS v FROM lineitem WHERE l_shipdate >= DATE '1998-01-01' GROUP BY 1)
+    l AS (SELECT strftime(l_shipdate, '%Y%m') AS month, COUNT(*) AS v FROM lineitem GROUP BY 1)
     SELECT month, CAST(COALESCE(l.v, o.v) AS DOUBLE) AS value FROM o FULL JOIN l USING (month)""",
 )
 def price_index_upsert(spark, sf_dir):
     """New months over existing ones, the new ones parsed from an API answer with decimal commas."""
-    shipped = binding.table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= F.lit(date(1998, 1, 1)))
-    monthly = shipped.groupBy(month_of(F.col("l_shipdate")).alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    monthly = binding.table(spark, sf_dir, "lineitem").groupBy(month_of(F.col("l_shipdate")).alias("m")).agg(F.count(F.lit(1)).alias("n"))
     answer = F.create_map(
         F.lit("D1C"), F.lit("1"), F.lit("D3C"), F.col("m"), F.lit("V"), F.concat(F.col("n").cast("string"), F.lit(",00"))
     )
@@ -918,14 +1002,80 @@ def silver_table_roundtrip(spark, sf_dir):
     path = tables.scratch_path(spark, "flow-text")
     raw = binding.flow_text_rows(spark, sf_dir)
     raw.write.csv(path, sep=";", header=True, emptyValue="", encoding="UTF-8", escape='"')
-    rows = with_flow_names(read_flow_text(spark, path))
-    rows = rows.withColumnsRenamed({"filekind": "file_kind", "ingestcompetence": "ingest_competence"})
+    rows = read_flow_rows(spark, path).withColumnsRenamed({"filekind": "file_kind", "ingestcompetence": "ingest_competence"})
     stored = tables.materialize(flow_silver(rows), "flow-silver", ["adjustment_kind"])
     return stored.groupBy("adjustment_kind", "registro_invalido").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("effective_competence").alias("months")
     )
 
 
+#: Columns of the written movement files under the names that each kind of file gives them: another order, other spellings, more columns.
+_SPELLINGS = {
+    "MOV": {"competênciamov": "competênciamov", "uf": "uf", "município": "município", "saldomovimentação": "saldomovimentação", "cbo2002ocupação": "cbo2002ocupação",
+            "tipomovimentação": "tipomovimentação", "salário": "salário", "indtrabintermitente": "indtrabintermitente"},
+    "FOR": {"competênciadec": "Competência Dec", "salário": "Salário", "uf": " UF ", "competênciamov": "Competência Mov", "saldomovimentação": "Saldo Movimentação",
+            "cbo2002ocupação": "CBO 2002 Ocupação", "tipomovimentação": "Tipo Movimentação", "município": "Município", "indtrabintermitente": "IndTrabIntermitente"},
+    "EXC": {"uf": "UF", "competênciamov": "COMPETENCIAMOV", "saldomovimentação": "SALDOMOVIMENTACAO", "município": "MUNICIPIO", "salário": "SALARIO", "competênciadec": "COMPETENCIADEC",
+            "tipomovimentação": "TIPOMOVIMENTACAO", "cbo2002ocupação": "CBO2002OCUPACAO", "indtrabintermitente": "INDTRABINTERMITENTE", "ingest_competence": "Nova Coluna"},
+}
+#: The same with broken headers: late files without the occupation, retractions with two columns for the state.
+_BROKEN = {**_SPELLINGS, "FOR": {k: v for k, v in _SPELLINGS["FOR"].items() if k != "cbo2002ocupação"}, "EXC": {**_SPELLINGS["EXC"], "ingest_competence": "U.F."}}
+
+
+def _write_flow_files(spark, sf_dir, spellings) -> str:
+    """All movements as text files, in a folder per kind and month; every file has the header of its kind."""
+    path = tables.scratch_path(spark, "flow-files")
+    raw = binding.flow_text_rows(spark, sf_dir)
+    for kind, names in spellings.items():
+        rows = raw.where(F.col("file_kind") == kind).select(*[F.col(c).alias(name) for c, name in names.items()], F.col("ingest_competence").alias("month"))
+        out = rows.hint("rebalance", "month").write.partitionBy("month").options(sep=";", header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        out.csv(f"{path}/{kind}")
+    return path
+
+
+_SPELLED = ", ".join(f"('{kind}', {i}, '{name}')" for kind, names in _BROKEN.items() for i, name in enumerate(names.values()))
+
+
+@query(
+    "flow_header_contract",
+    f"""WITH spelled(kind, place, name) AS (VALUES {_SPELLED}),
+    required(name) AS (VALUES ('competenciamov'), ('uf'), ('municipio'), ('saldomovimentacao'), ('cbo2002ocupacao'), ('tipomovimentacao'), ('salario')),
+    h AS (SELECT kind, place, regexp_replace(lower(strip_accents(name)), '[^a-z0-9]', '', 'g') AS name FROM spelled),
+    kinds AS (SELECT DISTINCT CASE WHEN l_linenumber = 7 THEN 'FOR' WHEN l_linenumber = 6 AND l_quantity < 5 THEN 'EXC' ELSE 'MOV' END AS kind FROM lineitem),
+    listed AS (SELECT kind, string_agg(name, ' ' ORDER BY place) AS headers FROM h GROUP BY kind),
+    gone AS (SELECT kind, string_agg(name, ' ' ORDER BY name) AS missing FROM kinds CROSS JOIN required WHERE (kind, name) NOT IN (SELECT (kind, name) FROM h) GROUP BY kind),
+    twice AS (SELECT kind, string_agg(name, ' ' ORDER BY name) AS doubled FROM (SELECT kind, name FROM h GROUP BY kind, name HAVING COUNT(*) > 1) GROUP BY kind)
+    SELECT kind, headers, COALESCE(missing, '') AS missing, COALESCE(doubled, '') AS doubled, missing IS NULL AND doubled IS NULL AS valid
+    FROM kinds JOIN listed USING (kind) LEFT JOIN gone USING (kind) LEFT JOIN twice USING (kind)""",
+)
+def flow_header_contract(spark, sf_dir):
+    """The headers of written files, some of them broken, file by file; files of a kind agree."""
+    path = _write_flow_files(spark, sf_dir, _BROKEN)
+    found = header_contract(first_lines(spark, list_files(spark, path)))
+    return found.select(
+        F.element_at(F.split("path", "/"), -3).alias("kind"), F.array_join("headers", " ").alias("headers"),
+        F.array_join("missing", " ").alias("missing"), F.array_join("doubled", " ").alias("doubled"), "valid",
+    ).distinct()
+
+
+@query(
+    "mixed_header_scan",
+    f"""WITH {TEXT} SELECT kind AS adjustment_kind, competence AS ingest_competence, bad AS registro_invalido, COUNT(*) AS rows,
+      COUNT(CASE WHEN kind <> 'MOV' THEN declared END) AS declared, CAST(SUM(sgn) AS BIGINT) AS balance, COUNT(DISTINCT cbo) AS codes,
+      COUNT(CASE WHEN kind = 'EXC' THEN 1 END) AS extra_column FROM q GROUP BY kind, competence, bad""",
+)
+def mixed_header_scan(spark, sf_dir):
+    """Files of all months and kinds, read with one scan per layout; month and kind come from the file of each row."""
+    path = _write_flow_files(spark, sf_dir, _SPELLINGS)
+    folders = sorted({file.rsplit("/", 1)[0] for file in list_files(spark, path)})
+    loads = [(folder, folder.rsplit("=", 1)[1], folder.split("/")[-2]) for folder in folders]
+    rows = flow_silver(read_flow_files(spark, loads))
+    return rows.groupBy("adjustment_kind", "ingest_competence", "registro_invalido").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("competencia_declarada").alias("declared"), F.sum(F.col("saldo_movimentacao").cast("bigint")).alias("balance"),
+        F.count_distinct("cbo_codigo").alias("codes"), F.count("novacoluna").alias("extra_column"),
+    )
+
+
 @query(
     "idempotent_month_load",
     f"""WITH {FLOW} SELECT competence, uf, {COUNTS} FROM f GROUP BY competence, uf""",

@@ -11,6 +11,9 @@ from jobtide.operators.joins import evaluate_once
 from jobtide.plans import binding
 from jobtide.plans.oracle_sql import COUNTERS, COUNTS, FLOW, PLACES, STOCK
 from jobtide.plans.registry import query
+from jobtide.sources.layout import inspect_layouts
+from jobtide.sources.stock_text import read_stock_text
+from jobtide.sources.tables import scratch_path
 
 YEAR = 2025
 
@@ -133,6 +136,25 @@ def stock_partition_counts(spark, sf_dir):
     return stock.with_stock_identities(stock.stock_counters(_silver(spark, sf_dir), ["source_file"]))
 
 
+@query("annual_text_scan", f"WITH {STOCK} SELECT {COUNTERS} FROM s")
+def annual_text_scan(spark, sf_dir):
+    """Links written as annual text in two layouts, with a remark that holds line breaks, quotes and delimiters in quotes; laid out,
+    matched and read back."""
+    path = scratch_path(spark, "annual-text")
+    remark = F.concat(F.lit('primeira linha\n"'), "rem_mean_raw", F.lit('"; x,\n\n'), F.repeat(F.lit("|\n"), F.length("rem_dec_raw")), F.lit(';"'))
+    raw = binding.stock_raw(spark, sf_dir)
+    named = raw.select(
+        "source_file", F.col("cbo_raw").alias("CBO 2002 Ocupação - Código"), F.col("municipio_raw").alias("Município - Código"),
+        F.when(F.col("abandoned_raw") != "1", remark).otherwise("sem").alias("Observação"),
+        F.col("active_raw").alias("Ind Vínculo Ativo 31/12 - Código"), F.col("abandoned_raw").alias("Ind Vínculo Abandonado - Código"),
+    )
+    out = {"header": True, "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    for delimiter, regions in ((";", ["AFRICA", "AMERICA", "NI"]), (",", ["ASIA", "EUROPE", "MIDDLE EAST"])):
+        named.where(F.col("source_file").isin(regions)).drop("source_file").write.options(sep=delimiter, **out).csv(f"{path}/{ord(delimiter)}")
+    rows = read_stock_text(spark, inspect_layouts(spark, path))
+    return stock.stock_counters(stock.stock_silver(rows), [])
+
+
 @query(
     "stock_quality_merged",
     f"WITH {STOCK} SELECT {COUNTERS}, {_IDENTITIES}, COUNT(DISTINCT source_file) AS parts_merged FROM s",
@@ -215,6 +237,24 @@ def value_contract(spark, sf_dir):
     )
 
 
+@query(
+    "contract_values",
+    """SELECT CASE WHEN c_acctbal < 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS value, CASE WHEN c_acctbal < 0 THEN 'blank' WHEN c_custkey IN (1, 2, 3) THEN 'positive'
+      WHEN c_custkey IN (4, 5, 6) THEN 'negative' ELSE 'unknown' END AS class, COUNT(*) AS n FROM customer GROUP BY ALL""",
+)
+def contract_values(spark, sf_dir):
+    """Every value of a column that a two-valued contract does not fit: nearly all are unknown, and all are listed."""
+    text = F.when(F.col("c_acctbal") < 0, F.lit("  ")).otherwise(F.concat(F.lit(" "), F.col("c_custkey").cast("string")))
+    counts = quality.value_counts(binding.table(spark, sf_dir, "customer").select(text.alias("code")), ["code"])
+    return contracts.classified_values(counts, ["1", "2", "3"], ["4", "5", "6"])
+
+
+@query("observed_years", "SELECT CAST(year(o_orderdate) AS VARCHAR) AS value, COUNT(*) AS n FROM orders GROUP BY 1")
+def observed_years(spark, sf_dir):
+    years = binding.table(spark, sf_dir, "orders").select(F.year("o_orderdate").cast("string").alias("year"))
+    return contracts.observed_values(quality.value_counts(years, ["year"]))
+
+
 @query(
     "year_contract",
     "SELECT string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ',' ORDER BY CAST(year(o_orderdate) AS VARCHAR)) AS observed,"

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from jobtide.fixed_values import STOCK_REQUIRED_ALIASES
 from jobtide.operators.contracts import concept_columns, match_aliases
 from jobtide.sources.layout import require_valid_layouts
+from jobtide.sources.quoted import broken_parts, part_states, read_records, text_lines
+from jobtide.sources.tables import materialize
 
 RAW_COLUMNS = {
     "cbo_occupation": "cbo_raw",
@@ -26,11 +28,28 @@ def _strictly_decoded(col: Column) -> Column:
     return F.when(F.contains(col, F.lit("�")), error).otherwise(col)
 
 
+def _broken_records(spark: SparkSession, files: list[str], encoding: str, delimiter: str, columns: tuple[str, ...]) -> DataFrame | None:
+    """(file, fields) of files with quoted line breaks, None where no line leaves a quoted field open: a plain scan reads those."""
+    lines = text_lines(spark, files)
+    states = materialize(part_states(lines, delimiter), "part-states")
+    if broken_parts(states).isEmpty():
+        return None
+    records = read_records(lines, states, delimiter)
+    if encoding == "latin-1":
+        text = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    else:
+        text = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(F.raise_error(F.lit("undecodable bytes in an annual file")))
+    schema = ", ".join(f"c{i} string" for i in range(len(columns)))
+    fields = F.from_csv(text, schema, {"sep": delimiter, "escape": '"', "multiLine": "true"})
+    return records.select("file", F.inline(F.array(fields)))
+
+
 def read_stock_text(spark: SparkSession, layouts: DataFrame, aliases=None) -> DataFrame:
     """Raw text of the four required concepts plus ``source_file``.
 
     Files that share delimiter, encoding and header are one scan, so the number of scans follows the number of
-    distinct layouts, not the number of files. ``layouts`` comes from ``inspect_layouts``; it has one small row per
+    distinct layouts, not the number of files. Quoted fields may hold line breaks, in files of any size: large files are still read in parts
+    (``quoted``), after one scan that looks for lines with an open quote. ``layouts`` comes from ``inspect_layouts``; it has one small row per
     file and is read on the driver to plan the scans.
     """
     require_valid_layouts(layouts)
@@ -42,19 +61,16 @@ def read_stock_text(spark: SparkSession, layouts: DataFrame, aliases=None) -> Da
 
     scans = []
     for (encoding, delimiter, columns, normalized), files in sorted(groups.items()):
-        positions = {name: columns[i] for i, name in enumerate(normalized)}
+        place = {name: i for i, name in enumerate(normalized)}
         resolved = columns_of[files[0][1]]
-        rows = spark.read.csv(
-            [path for path, _ in files], sep=delimiter, header=True, inferSchema=False, escape='"',
-            encoding=_SPARK_ENCODING[encoding], mode="PERMISSIVE",
-        )
-        scans.append(
-            rows.select(
-                *[
-                    _strictly_decoded(F.col(f"`{positions[resolved[concept]]}`")).alias(raw)
-                    for concept, raw in RAW_COLUMNS.items()
-                ],
-                F.col("_metadata.file_name").alias("source_file"),
-            )
-        )
+        paths = [path for path, _ in files]
+        records = _broken_records(spark, paths, encoding, delimiter, columns)
+        if records is not None:
+            taken = [F.col(f"c{place[resolved[concept]]}").alias(raw) for concept, raw in RAW_COLUMNS.items()]
+            name = F.url_decode(F.replace(F.element_at(F.split("file", "/"), -1), F.lit("+"), F.lit("%2B")))
+        else:
+            records = spark.read.csv(paths, sep=delimiter, header=True, inferSchema=False, escape='"', encoding=_SPARK_ENCODING[encoding], mode="PERMISSIVE")
+            taken = [_strictly_decoded(F.col(f"`{columns[place[resolved[concept]]]}`")).alias(raw) for concept, raw in RAW_COLUMNS.items()]
+            name = F.col("_metadata.file_name")
+        scans.append(records.select(*taken, name.alias("source_file")))
     return reduce(DataFrame.unionByName, scans)

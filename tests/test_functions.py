@@ -38,6 +38,20 @@ def test_comparable_value_matches_unicode_folding(rows):
         assert value == fold(word) or value.lower() == fold(word).lower() or set(value) ^ set(fold(word)) <= set("ſsµμ"), word
 
 
+def test_folding_of_all_of_unicode(spark):
+    """Every character between letters, as Python's tables fold it on the driver."""
+    def plain(value):
+        return "".join(c for c in unicodedata.normalize("NFKD", value) if not unicodedata.combining(c))
+
+    points = [p for p in range(1, 0x110000) if not 0xD800 <= p <= 0xDFFF and (p < 0x30000 or p % 97 == 0) and (p < 0xAC00 or p > 0xD7A3 or p % 13 == 0)]
+    words = ["x" + "y".join(map(chr, points[i : i + 40])) + "z" for i in range(0, len(points), 40)]
+    words += ["Trần Đăng Khoa", "ﬁancée ﬀ", "Москва́ Ё", "서울특별시", "ẞtraße", "ΑΣ ας", "İstanbul ı", "\u0e33\u0f73"]
+    df = spark.createDataFrame([(w,) for w in words], "c string").repartition(4, "c")
+    for word, stripped, folded in df.select("c", text.strip_accents(F.col("c")), text.comparable_value(F.col("c"))).collect():
+        assert stripped == plain(word)
+        assert folded == " ".join(plain(word.strip()).casefold().split())
+
+
 def test_spreadsheet_safe(rows):
     cells = ["=SUM(1,1)", "  @unsafe", "+CMD", "-injected", "safe", "a=b", None, " =x"]
     expected = ["'=SUM(1,1)", "'  @unsafe", "'+CMD", "'-injected", "safe", "a=b", None, "' =x"]
@@ -166,3 +180,21 @@ def test_row_set_fingerprint_ignores_order_and_counts_copies(rows):
     assert one("a", "b") != one("a", "b", "b") and one("a", "b") != one("a", "c")
 
 
+
+
+def test_double_text_is_the_shortest(spark):
+    """As Python writes floats, which reads back as the same number and has no digit too many."""
+    import json
+    import math
+    import random
+    import struct
+
+    dice = random.Random(4)
+    values = [0.0, -0.0, 1.0, -1.5, 1e7, 1.5e10, 123456789.125, 1e15, 9999999999999998.0, 1e16, 1.5e16, 1e22, 1e23, 2e23, 1e-3, 1e-4, 1.5e-4, 1e-5, 1.25e-5, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, 0.1 + 0.2, 2e-3, 1.0e-10, 100.0, 1234.0, math.inf, -math.inf, math.nan]
+    values += [struct.unpack("d", struct.pack("Q", dice.getrandbits(64)))[0] for _ in range(2000)] + [round(dice.uniform(-1e9, 1e9), 2) for _ in range(2000)] + [dice.uniform(0, 1) * 10 ** dice.randint(-8, 20) for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "d double")
+    written = [r[0] for r in df.select(fingerprints.double_text(F.col("d"))).collect()]
+    wrong = [(v, w) for v, w in zip(values, written, strict=True) if w != json.dumps(v)]
+    assert not wrong, wrong[:5]
+    nested = spark.createDataFrame([((1e8, None), [1.5e-7, None], "é\"/", None, 2)], "s struct<b double, a string>, l array<double>, t string, n double, i int")
+    assert nested.select(fingerprints.canonical_json(nested)).first()[0] == '{"i":2,"l":[1.5e-07,null],"n":null,"s":{"a":null,"b":100000000.0},"t":"é\\"/"}'
