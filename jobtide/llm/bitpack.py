@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from jobtide.llm.frames import map_arrow, stored, strings
+from jobtide.llm.frames import map_arrow, stored
 from jobtide.llm.tokens import _tokenizer, encoded
 from jobtide.sources.tables import scratch_path
 
@@ -41,11 +41,15 @@ def bits_for(vocabulary: int) -> int:
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError(f"an id does not fit {bits} bits")
-    each = np.unpackbits(ids.astype("<u4").view(np.uint8), bitorder="little").reshape(-1, 32)
-    return np.packbits(each[:, :bits], bitorder="little").tobytes()
+    if bits in (8, 16, 32):
+        return ids.astype(f"<u{bits // 8}").tobytes()
+    each = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, count=bits, bitorder="little")
+    return np.packbits(each, bitorder="little").tobytes()
 
 
 def unpack_bits(data: bytes, bits: int, count: int) -> np.ndarray:
+    if bits in (8, 16, 32):
+        return np.frombuffer(data, f"<u{bits // 8}", count).astype(np.uint32)
     each = np.unpackbits(np.frombuffer(data, np.uint8), count=count * bits, bitorder="little").reshape(count, bits)
     wide = np.zeros((count, 32), np.uint8)
     wide[:, :bits] = each
@@ -148,7 +152,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end:
     trial = f"{place}/.trial-{part:06d}-{context.taskAttemptId()}"
     writer = sink = None
     for batch in batches:
-        for key, ids in zip(batch.column(0).to_pylist(), encoded(strings(batch.column(1)), tokenizer, end), strict=True):
+        for key, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1), tokenizer, end), strict=True):
             if writer is None:
                 sink = system.open_output_stream(trial)
                 writer = BitWriter(sink, bits)

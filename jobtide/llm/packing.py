@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from jobtide.llm.frames import map_arrow, stored, strings
+from jobtide.llm.frames import map_arrow, stored
 from jobtide.llm.tokens import encoded
 
 
@@ -68,7 +68,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, end: int, room: int, with
     seen = np.zeros(room + 1, np.int64)
     for batch in batches:
         rows: list[tuple] = []
-        for doc, ids in zip(batch.column(0).to_pylist(), encoded(strings(batch.column(1)), path, end), strict=True):
+        for doc, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1), path, end), strict=True):
             stop = len(ids) % room or room
             start = 0
             for piece in range(-(-len(ids) // room)):

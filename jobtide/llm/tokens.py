@@ -8,13 +8,19 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces whose ids a Python worker remembers in each of two generations, so its memory is bounded.
-REMEMBERED = 400_000
+#: Pieces that a Python worker remembers at most, besides those of the texts at hand.
+REMEMBERED = 1_000_000
+#: Bytes of texts that are taken apart at a time.
+TOGETHER = 16 << 20
 
-#: Pieces that a text can be cut into: a run without white space, with the one space or line feed before it.
-PIECE = re.compile(r"[ \n]?\S+")
-CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: Texts that are encoded whole: white space next to white space or at an end, or other than a space and a line feed, or the mark itself.
+ODD = r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\x01\t\r\v\f\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Stands where a text is cut: before a space or line feed, and between a letter and the punctuation that ends a word.
+MARK = "\x01"
+AFTER_WORD = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])"
 
 
 @lru_cache(maxsize=2)
@@ -22,17 +28,16 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 class Encoder:
-    """Ids as ``encode(text, add_special_tokens=False)`` gives them, special tokens' strings being plain text.
+    """Ids as ``encode(text, add_special_tokens=False)`` gives them.
 
     A byte-level tokenizer with the usual pattern always cuts before a single space or line feed between two characters that
-    are no white space. So such pieces have ids of their own, whatever stands around them, and the ids of frequent ones are
-    looked up.
+    are no white space, and between a letter and a full stop or the like. So such pieces have ids of their own, whatever stands
+    around them. The pieces of many texts are told apart at once, the library sees each distinct one once, and its ids are put in
+    all its places. Pieces are remembered until they are too many; then only those met last stay. Texts that hold an added token's string, or that are ``ODD``, are encoded by the library as they are.
     """
 
     def __init__(self, path: str):
@@ -42,45 +47,71 @@ class Encoder:
         self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for entry, number in vocabulary.items():
             self.widths[number] = len(entry)
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        added = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.whole = "|".join([ODD, *added])
+        self.known = pa.array([], pa.large_string())
+        self.known_ids = pa.LargeListArray.from_arrays([0], pa.array([], pa.uint32()))
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.recent) + len(pieces) > REMEMBERED:
-            self.older, self.recent = self.recent, {}
-        together = []
-        for piece in pieces:
-            if (ids := self.older.get(piece)) is not None:
-                self.recent[piece] = ids
-            elif piece[0] in " \n" and len(piece) > 1 and not piece[1].isspace() and not piece[-1].isspace():
-                together.append(piece)
-            else:
-                self.recent[piece] = self._ids(piece).tobytes()
-        if together:  # one call: such pieces keep their ids side by side, and the bytes of the ids tell where each ends
-            ids = self._ids("".join(together))
-            ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(p.encode()) for p in together])) + 1
-            begin = 0
-            for piece, end in zip(together, ends.tolist(), strict=True):
-                self.recent[piece] = ids[begin:end].tobytes()
-                begin = end
-
-    def encode(self, text: str) -> np.ndarray:
-        pieces = PIECE.findall(text)
-        if sum(map(len, pieces)) != len(text):  # other white space
-            pieces = CUT.split(text)
-        distinct = set(pieces)
-        if len(distinct) > REMEMBERED:  # more than a generation holds
-            return self._ids(text)
-        known = self.recent
-        if unknown := [p for p in distinct if p not in known]:
-            self._learn(unknown)
-            if self.recent is not known:  # a new generation: what this text needs of the old one is carried over, and has room
-                known = self.recent
-                self._learn([p for p in distinct if p not in known])
-        return np.frombuffer(b"".join([known[p] for p in pieces]), np.uint32)
+    def _learned(self, pieces: pa.Array) -> pa.LargeListArray:
+        """Ids of distinct pieces. Those that start with a space or line feed are one text for the library: they keep their ids side by
+        side, and the bytes of the ids tell where each ends."""
+        led = pc.match_substring_regex(pieces, r"\A[ \n]").to_numpy(zero_copy_only=False)
+        joined = self._ids("".join(pieces.filter(pa.array(led)).to_pylist())) if led.any() else np.empty(0, np.uint32)
+        alone = [e.ids for e in self.library.encode_batch_fast(pieces.filter(pa.array(~led)).to_pylist(), add_special_tokens=False)]
+        sizes = np.zeros(len(pieces), np.int64)
+        sizes[~led] = [len(ids) for ids in alone]
+        ends = np.searchsorted(np.cumsum(self.widths[joined]), np.cumsum(pc.binary_length(pieces).to_numpy()[led])) + 1
+        sizes[led] = np.diff(ends, prepend=0)
+        of_led = np.repeat(led, sizes)
+        values = np.empty(len(of_led), np.uint32)
+        values[of_led] = joined
+        values[~of_led] = [i for ids in alone for i in ids]
+        return pa.LargeListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))), pa.array(values))
+
+    def _looked_up(self, pieces: pa.Array) -> pa.LargeListArray:
+        """Ids of distinct pieces."""
+        place = pc.index_in(pieces, value_set=self.known)
+        missing = pieces.filter(place.is_null())
+        if len(missing):
+            everything = pa.concat_arrays([self.known, missing])
+            ids = pa.concat_arrays([self.known_ids, self._learned(missing)])
+            place = pc.replace_with_mask(place, place.is_null(), pa.array(np.arange(len(self.known), len(everything), dtype=np.int32)))
+        else:
+            everything, ids = self.known, self.known_ids
+        found = ids.take(place)
+        self.known, self.known_ids = (everything, ids) if len(everything) <= REMEMBERED else (pieces, found)
+        return found
+
+    def _even(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Texts that are not empty and may be cut."""
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", MARK + " "), "\n", MARK + "\n")
+        words = pc.split_pattern(marked, MARK)
+        distinct = words.values.dictionary_encode()
+        parts = pc.split_pattern(pc.replace_substring_regex(distinct.dictionary, AFTER_WORD, r"\1" + MARK + r"\2"), MARK)
+        pieces = parts.values.dictionary_encode()
+        of_part = self._looked_up(pieces.dictionary).take(pieces.indices)
+        of_word = pa.LargeListArray.from_arrays(of_part.offsets.take(parts.offsets), of_part.values)
+        placed = of_word.take(distinct.indices)
+        values, bounds = placed.values.to_numpy(), placed.offsets.to_numpy()[words.offsets.to_numpy()]
+        for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            yield values[begin:end]
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text; none for an empty or a null one."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        whole, size = pc.match_substring_regex(texts, self.whole), pc.binary_length(texts).to_numpy()
+        whole = whole.to_numpy(zero_copy_only=False)
+        groups = np.cumsum(size) // TOGETHER
+        for group in np.unique(groups).tolist():
+            first, stop = np.searchsorted(groups, [group, group + 1]).tolist()
+            part = texts.slice(first, stop - first)
+            cut = ~whole[first:stop] & (size[first:stop] > 0)
+            even = self._even(part.filter(pa.array(cut))) if cut.any() else iter(())
+            for i in range(stop - first):
+                yield next(even) if cut[i] else self._ids(part[i].as_py()) if size[first + i] else np.empty(0, np.uint32)
 
 
 @lru_cache(maxsize=2)
@@ -88,9 +119,8 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded(texts: list[str], path: str, end: int) -> Iterator[np.ndarray]:
+def encoded(texts: pa.Array, path: str, end: int) -> Iterator[np.ndarray]:
     """The ids of each text and the end id."""
-    known = encoder(path)
     last = np.array([end], np.uint32)
-    for text in texts:
-        yield np.concatenate((known.encode(text), last)) if text else last
+    for ids in encoder(path).encode(texts):
+        yield np.concatenate((ids, last))

@@ -1,20 +1,22 @@
 """The training-data operators against brute force on small tables, and on odd ones: nulls, empty tables, ties, clashing names."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
-from functools import partial
+from functools import lru_cache, partial
 from math import log10
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from jobtide.llm import bitpack, disclosure, exact_dedup, license_digest, minhash_join, mixing, packing, ppm, preference_chat, quality_rules, tokens
 from jobtide.llm.components import components
-from jobtide.llm.tokens import _tokenizer, encoded
+from jobtide.llm.tokens import encoded
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -226,22 +228,47 @@ def test_mix_comes_near_and_agrees(spark):
     assert len(total) == 8 and all(target - 17 <= taken <= target + 1e-6 for (_, target), taken in total.items())
 
 
+@lru_cache(maxsize=1)
+def library():
+    """The tokenizer as its users load it, apart from the operator's own."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(TOKENIZER)
+
+
 def ids_of(text):
-    return _tokenizer(TOKENIZER).encode(text, add_special_tokens=False).ids + [2]
+    return library().encode(text, add_special_tokens=False).ids + [2]
+
+
+ODD_TEXTS = [
+    "a  b", " lead", "trail ", "a \nb", "don't  's", "\xa0x y", "tab\tand\nline feed", "hello <|endoftext|> world", "a<|endoftext|>b <|endoftext|>", "<|endoftext|", "it's. 'S ok.'s a.b.c. ...x", "é. ñ!? \u0301. x\u0301.", "\x01 a\x01b.",
+    "3.5, x3. 3x.", "a.\n.b", "\u3000x", "x\u2028y z", "日本. 語", "ß.", "x.!?", "A,B,C", "\x85", "😀. x😀, y",
+]
 
 
 def test_ids_equal_the_library(odd):
-    texts = [t for _, t in texts_of(odd)] + ["a  b", " lead", "trail ", "a \nb", "don't  's", " x y", "tab\tand\nline feed"]
-    assert [i.tolist() for i in encoded(texts, TOKENIZER, 2)] == [ids_of(t) for t in texts]
+    texts = [t for _, t in texts_of(odd)] + ODD_TEXTS
+    assert [i.tolist() for i in encoded(pa.array(texts), TOKENIZER, 2)] == [ids_of(t) for t in texts]
+    assert [i.tolist() for i in encoded(pa.array(["", None, ""]), TOKENIZER, 2)] == [[2]] * 3
+    assert library().encode("<|endoftext|>", add_special_tokens=False).ids == [50256]
+
+
+def test_ids_of_random_texts():
+    dice = random.Random(8)
+    signs = ["a", "B", "é", "ß", " ", " ", "\n", ".", ",", "'", "'s", "1", "_", "-", "\t", "\xa0", "日", "😀", "\u0301", "<|endoftext|>", "word", "Word"]
+    texts = ["".join(dice.choice(signs[: dice.choice([4, 12, 22])]) for _ in range(dice.randint(0, 30))) for _ in range(3000)]
+    assert [i.tolist() for i in encoded(pa.array(texts), TOKENIZER, 2)] == [ids_of(t) for t in texts]
 
 
-@pytest.mark.parametrize("remembered", [1, 4, 7])
-def test_ids_of_texts_with_more_pieces_than_remembered(monkeypatch, remembered):
+@pytest.mark.parametrize(("remembered", "together"), [(1, 1), (4, 40), (7, 1 << 20)])
+def test_ids_of_texts_with_more_pieces_than_remembered(monkeypatch, remembered, together):
     monkeypatch.setattr(tokens, "REMEMBERED", remembered)
+    monkeypatch.setattr(tokens, "TOGETHER", together)
     known = tokens.Encoder(TOKENIZER)
-    for text in ["a b c", "c d e f g h i j", "a b c d", "d e f g h i j", "x  y\n\nz a b c d e f", "a b c d e f g", PROSE, "a"]:
-        assert known.encode(text).tolist() == ids_of(text)[:-1]
-        assert len(known.recent) <= remembered and len(known.older) <= remembered
+    texts = ["a b c", "c d e f g h i j", "", "a b c d", "d e f g h i j", "x  y\n\nz a b c d e f", "a b c d e f g", PROSE, "a", None]
+    for _ in range(2):
+        assert [i.tolist() for i in known.encode(pa.array(texts))] == [ids_of(t or "")[:-1] for t in texts]
+        assert len(known.known) == len(known.known_ids) <= max(remembered, 40)
 
 
 @pytest.mark.parametrize("bits", [1, 3, 8, 16, 17, 32])
