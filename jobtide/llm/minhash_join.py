@@ -217,10 +217,9 @@ def _unsettled(met: DataFrame, compared: DataFrame, labels: DataFrame, linked: C
 def _open_lists(lists: DataFrame, least: int) -> DataFrame:
     """Stored lists with more than one component, less the nodes that are too unlike even the smallest set of their list."""
     lists = stored(lists, "near-lists")
-    lowest = lists.groupBy("key").agg(F.min("size").alias("lowest"))
-    lists = lists.join(lowest, "key").where(_may_link(F.col("size"), F.col("lowest"), F.col("common"), least)).drop("lowest")
-    several = lists.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    return stored(lists.join(several, "key", "left_semi"), "near-lists")
+    several = lists.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("size").alias("lowest")).where("low < high")
+    kept = lists.join(several, "key").where(_may_link(F.col("size"), F.col("lowest"), F.col("common"), least))
+    return stored(kept.drop("low", "high", "lowest"), "near-lists")
 
 
 def roots(texts: DataFrame, signed: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, least: int = LEAST_PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES, ring: int = RING_MATCHES, rare: int = RARE) -> DataFrame:
@@ -244,6 +243,8 @@ def roots(texts: DataFrame, signed: DataFrame, text: str = "text", key: str = "d
     rest = stored(_unsettled(met, compared, labels, linked, 100 - least), "near-lists")
     bounds, sharing = _rare_shingles(rest.select("node"), sets, rare)
     labels = _relabelled(labels, _compared(_apart(sharing, labels), briefs, sets, coordinates, matches).where(linked))
+    # No partner is smaller than the share sought of a set, so a node with fewer common shingles than that has none left.
+    bounds = bounds.where(100 * F.col("common") >= least * F.col("size"))
     lists, count = _open_lists(rest.join(labels, "node").join(bounds, "node"), least), LATER_PIVOTS
     while not lists.isEmpty():  # what is left is uneven and gets several pivots at once
         pivots = stored(_pivots(lists, count), "near-pivots")
