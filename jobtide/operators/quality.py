@@ -24,18 +24,17 @@ def _signed_counts(prefix: str, scope: Column) -> list[Column]:
     ]
 
 
+def _audit_columns() -> list[Column]:
+    everywhere, unidentified = F.lit(True), F.col("uf") == UNIDENTIFIED_STATE
+    return [F.count(F.lit(1)).alias("rows"), *_signed_counts("", everywhere), *_signed_counts("non_identified_", unidentified)]
+
+
 def national_audit(silver: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Totals over all rows, valid or not, and the same for the not-identified state. One pass."""
-    everywhere, unidentified = F.lit(True), F.col("uf") == UNIDENTIFIED_STATE
-    return silver.groupBy(*(by or [])).agg(
-        F.count(F.lit(1)).alias("rows"),
-        *_signed_counts("", everywhere),
-        *_signed_counts("non_identified_", unidentified),
-    )
+    return silver.groupBy(*(by or [])).agg(*_audit_columns())
 
 
-def flow_quality(silver: DataFrame, families: list[str], by: list[str] | None = None) -> DataFrame:
-    """Rows read, valid, rejected and in scope, rejects per rule, valid rate. One pass over the flagged rows."""
+def _quality_columns(families: list[str]) -> list[Column]:
     invalid = F.col("registro_invalido")
     counters = {
         "rows_valid": ~invalid,
@@ -47,9 +46,18 @@ def flow_quality(silver: DataFrame, families: list[str], by: list[str] | None =
         "invalid_salary": invalid & F.col("erro_salario"),
         "non_identified_uf_rows": F.col("uf") == UNIDENTIFIED_STATE,
     }
-    report = silver.groupBy(*(by or [])).agg(
-        F.count(F.lit(1)).alias("rows_read"), *[F.count_if(c).alias(n) for n, c in counters.items()]
-    )
+    return [F.count(F.lit(1)).alias("rows_read"), *[F.count_if(c).alias(n) for n, c in counters.items()]]
+
+
+def flow_quality(silver: DataFrame, families: list[str], by: list[str] | None = None) -> DataFrame:
+    """Rows read, valid, rejected and in scope, rejects per rule, valid rate. One pass over the flagged rows."""
+    report = silver.groupBy(*(by or [])).agg(*_quality_columns(families))
+    return report.withColumn("valid_rate", share(F.col("rows_valid"), F.col("rows_read")))
+
+
+def quality_and_audit(silver: DataFrame, families: list[str], by: list[str]) -> DataFrame:
+    """The columns of :func:`flow_quality` and :func:`national_audit` from one aggregate; a gate reads both."""
+    report = silver.groupBy(*by).agg(*_quality_columns(families), *_audit_columns())
     return report.withColumn("valid_rate", share(F.col("rows_valid"), F.col("rows_read")))
 
 

@@ -53,7 +53,7 @@ def stock_silver(
     ``raw`` has cbo_raw, municipio_raw, active_raw, abandoned_raw and source_file. ``status`` is one of rejected,
     inactive, abandoned, out_of_scope, scope: each row has exactly one.
     """
-    trimmed = {c: F.trim(F.coalesce(F.col(c), F.lit(""))) for c in _RAW}
+    trimmed = {c: F.trim(F.coalesce(F.col(c), F.lit(""))) for c in RAW}
     coded = raw.withColumns(trimmed).withColumns(
         {
             "active": comparable_value(F.col("active_raw")),
@@ -93,12 +93,12 @@ def stock_silver(
     return coded.withColumn("reasons", reasons).withColumns({"status": status, "source_status": source_status})
 
 
-_RAW = ["cbo_raw", "municipio_raw", "active_raw", "abandoned_raw"]
+RAW = ["cbo_raw", "municipio_raw", "active_raw", "abandoned_raw"]
 
 
 def route_stock(silver: DataFrame, year: int, stored: bool = False) -> RoutedStock:
     """Scope and rejects. ``stored`` says that ``silver`` was read back from a table, so its filters go to the scan."""
-    rows = silver if stored else evaluate_once(silver)
+    rows = silver if stored else evaluate_once(silver, [*RAW, "source_file", "cbo_codigo", "cbo_familia", "municipio_codigo", "uf", "reasons", "status"])
     scope = rows.where("status = 'scope'").select(
         F.lit(year).cast("smallint").alias("year"),
         "cbo_codigo", "cbo_familia", "municipio_codigo", "uf", F.lit(True).alias("active_3112"), "source_file",

@@ -18,6 +18,7 @@ from jobtide.plans import binding
 from jobtide.plans.oracle_sql import COUNTS, FLOW, STOCK, TEXT
 from jobtide.plans.quality_queries import silver
 from jobtide.operators.flow_silver import flow_silver
+from jobtide.operators.joins import evaluate_once
 from jobtide.plans.registry import query
 from jobtide.sources import dimensions, documents, manifests, releases, tables
 from jobtide.sources.files import first_lines, list_files
@@ -71,18 +72,25 @@ def national_reconciliation(spark, sf_dir):
     return official.reconcile_months(_measured_months(spark, sf_dir), _official_months(spark, sf_dir))
 
 
-def _level_totals(spark, sf_dir):
-    """Published totals at every level. The regional rows leave out one brand, so some regions do not close."""
-    rows = binding.flow(spark, sf_dir, "uf", "region", "cbo_familia")
-    base = _counts(rows, "uf", "region", "cbo_familia")
-    sums = [F.sum(c).alias(c) for c in METRICS]
-    shown = lambda level, name: [F.lit(level).alias("level"), name.alias("name"), *METRICS]
-    national = base.agg(*sums).select(*shown("national", F.lit("BR")))
-    states = base.groupBy("uf").agg(*sums).select(*shown("state", F.col("uf")))
-    partial = base.where("not (cbo_familia = 'Brand#1' and region in ('ASIA', 'EUROPE'))")
-    regions = partial.groupBy("region").agg(*sums).select(*shown("region", F.col("region")))
-    none = national.select(*shown("non_identified", F.lit("NI"))[:2], *[F.lit(0).cast("bigint").alias(c) for c in METRICS])
-    return national.unionByName(states).unionByName(regions).unionByName(none)
+def _level_totals(spark, sf_dir, keys=()):
+    """Published totals at every level, by the year of the month if it is a key, from one pass (grouping sets). The regional rows leave out one brand, so
+    some regions do not close."""
+    rows = binding.flow(spark, sf_dir, "competence", "uf", "region", "cbo_familia").withColumn("competence", F.substring("competence", 1, 4))
+    kept = ~((F.col("cbo_familia") == "Brand#1") & F.col("region").isin("ASIA", "EUROPE"))
+    sums = [F.sum(f"{c}_delta").cast("bigint").alias(c) for c in METRICS] + [F.sum(F.when(kept, F.col(f"{c}_delta"))).cast("bigint").alias(f"kept_{c}") for c in METRICS]
+    keys, grouping = list(keys), lambda c: F.grouping(c) == 0
+    levels = rows.groupingSets([[*keys], [*keys, "uf"], [*keys, "region"]], *keys, "uf", "region").agg(*sums, grouping("uf").alias("is_state"), grouping("region").alias("is_region"))
+
+    def line(level, name, values):
+        return F.struct(F.lit(level).alias("level"), name.alias("name"), *[v.alias(c) for c, v in zip(METRICS, values, strict=True)])
+
+    whole, part = [F.col(c) for c in METRICS], [F.col(f"kept_{c}") for c in METRICS]
+    lines = (
+        F.when(F.col("is_state"), F.array(line("state", F.col("uf"), whole)))
+        .when(F.col("is_region"), F.array(line("region", F.col("region"), part)))
+        .otherwise(F.array(line("national", F.lit("BR"), whole), line("non_identified", F.lit("NI"), [F.lit(0).cast("bigint")] * 3)))
+    )
+    return levels.select(*keys, F.inline(lines))
 
 
 _REGIONS = {
@@ -105,18 +113,25 @@ def region_closure(spark, sf_dir):
 
 @query(
     "official_reference_checks",
-    f"""WITH {FLOW}, {_CLOSURE} SELECT 'all' AS competence, id, CASE WHEN id = 'regions_equal_sum_of_ufs' THEN (SELECT bool_and(s1 = r1 AND s2 = r2 AND s3 = r3) FROM a)
-      ELSE true END AS passed, true AS blocking FROM (VALUES ('national_arithmetic'), ('uf_arithmetic'), ('region_arithmetic'),
+    f"""WITH {FLOW}, y AS (SELECT substr(competence, 1, 4) AS year, region, SUM(adm) AS s1, SUM(dis) AS s2, SUM(bal) AS s3, SUM(adm) FILTER (keep) AS r1, SUM(dis) FILTER (keep) AS r2,
+      SUM(bal) FILTER (keep) AS r3 FROM (SELECT *, NOT (cbo_familia = 'Brand#1' AND region IN ('ASIA', 'EUROPE')) AS keep FROM f) GROUP BY ALL),
+    u AS (SELECT substr(competence, 1, 4) AS year, uf, SUM(adm) AS a, SUM(dis) AS d, SUM(bal) AS b FROM f GROUP BY ALL),
+    n AS (SELECT year, SUM(a) AS a, SUM(d) AS d, SUM(b) AS b, bool_and(a - d = b) AS states FROM u GROUP BY year),
+    c AS (SELECT year, bool_and(r1 - r2 = r3) AS regions, bool_and(s1 = r1 AND s2 = r2 AND s3 = r3) AND COUNT(*) = 5 AS closed, SUM(s1) AS a, SUM(s2) AS d, SUM(s3) AS b FROM y GROUP BY year)
+    SELECT year AS competence, id, CASE id WHEN 'national_arithmetic' THEN n.a - n.d = n.b WHEN 'uf_arithmetic' THEN states WHEN 'region_arithmetic' THEN regions
+      WHEN 'regions_equal_sum_of_ufs' THEN closed WHEN 'national_equals_ufs_plus_unidentified' THEN (n.a, n.d, n.b) = (c.a, c.d, c.b)
+      ELSE round(30000.0 * 0.3, 2) = 9000.0 AND round(30000.0 * 3.3, 2) = CASE WHEN year = '1999' THEN 98000.0 ELSE 99000.0 END END AS passed, true AS blocking
+    FROM n JOIN c USING (year), (VALUES ('national_arithmetic'), ('uf_arithmetic'), ('region_arithmetic'),
       ('regions_equal_sum_of_ufs'), ('national_equals_ufs_plus_unidentified'), ('salary_methodology')) t(id)""",
 )
 def official_reference_checks(spark, sf_dir):
-    totals = _level_totals(spark, sf_dir).withColumn("competence", F.lit("all"))
+    """The checks of every year; the salary rule that is published for 1999 does not follow from the minimum wage."""
+    totals = evaluate_once(_level_totals(spark, sf_dir, ["competence"]))
     low, high = binding.SALARY_BOUNDS
-    salary = spark.range(1).select(
-        F.lit("all").alias("competence"), F.lit(30000.0).alias("minimum_wage_brl"), F.lit(0.3).alias("minimum_multiple"),
-        F.lit(3.3).alias("maximum_multiple"), F.lit(low).alias("minimum_salary_brl"), F.lit(high).alias("maximum_salary_brl"),
-        F.lit(True).alias("exclude_intermittent"),
-    )
+    salary = totals.where("level = 'national'").select(
+        "competence", F.lit(30000.0).alias("minimum_wage_brl"), F.lit(0.3).alias("minimum_multiple"), F.lit(3.3).alias("maximum_multiple"), F.lit(low).alias("minimum_salary_brl"),
+        F.when(F.col("competence") == "1999", high - 1000).otherwise(high).alias("maximum_salary_brl"), F.lit(True).alias("exclude_intermittent"),
+    )
     return official.official_reference_checks(totals, salary, ["competence"], _REGIONS).drop("message")
 
 
@@ -205,18 +220,18 @@ def next_month_revision(spark, sf_dir):
 
 
 def _monthly_checks(spark, sf_dir):
+    """Three passes over the movements: the parsed rows, the published places with the months they add up to, and the official totals."""
     rows = silver(spark, sf_dir).where("file_kind = 'MOV'")
-    named = lambda df: df.withColumnRenamed("ingest_competence", "competence")
-    report = named(quality.flow_quality(rows, ["2122", "2123", "2124", "3171", "3172"], ["ingest_competence"]))
-    audit = named(quality.national_audit(rows, ["ingest_competence"]))
-    gold = _counts(binding.flow(spark, sf_dir, "competence"), "competence")
+    facts = quality.quality_and_audit(rows, ["2122", "2123", "2124", "3171", "3172"], ["ingest_competence"])
+    facts = evaluate_once(facts.withColumnRenamed("ingest_competence", "competence"))
+    places = evaluate_once(_counts(binding.flow(spark, sf_dir, "competence", "municipio_codigo_caged"), "competence", "municipio_codigo_caged"))
+    gold = evaluate_once(places.groupBy("competence").agg(*[F.sum(c).alias(c) for c in METRICS]))
     totals = _official_months(spark, sf_dir)
-    reference = totals.select(
+    reference = evaluate_once(totals.select(
         "competence", F.col("admissions").alias("admissoes"), F.col("dismissals").alias("desligamentos"),
         F.col("balance").alias("saldo"),
         F.sha2(F.concat_ws("|", "competence", "admissions", "dismissals"), 256).alias("reference_sha256"),
-    )
-    places = _counts(binding.flow(spark, sf_dir, "competence", "municipio_codigo_caged"), "competence", "municipio_codigo_caged")
+    ))
     suppliers = binding.table(spark, sf_dir, "supplier")
     dimension = suppliers.select(
         F.col("s_suppkey").cast("string").alias("prefix"), F.lpad(F.col("s_suppkey").cast("string"), 7, "0").alias("municipio_codigo_ibge"),
@@ -229,7 +244,7 @@ def _monthly_checks(spark, sf_dir):
         F.when(F.col("competence") < "1999", F.col("reference_sha256")).otherwise(F.lit("old")).alias("reference_sha256"),
     )
     return gates.monthly_gate(
-        gold.select("competence"), quality=report, overview=gold, market=gold, audit=audit, municipality=items,
+        gold.select("competence"), quality=facts, overview=gold, market=gold, audit=facts, municipality=items,
         manifests=files, official=reference, approvals=approvals, minimum_valid_rate=0.4,
     )
 
@@ -481,9 +496,20 @@ _TOUCHED = "tm AS (SELECT DISTINCT competence FROM f WHERE kind <> 'MOV' AND l_q
       (SELECT CASE WHEN COUNT(*) > 0 THEN 'by-uf' ELSE '' END FROM ch WHERE after IS NULL) AS missing_after""",
 )
 def history_evaluation(spark, sf_dir):
-    baseline, current = _revision(spark, sf_dir)
-    base = binding.flow(spark, sf_dir, "competence").where("adjustment_kind = 'MOV' and competence < '2001'")
-    row = history.evaluate_revisions("200012", baseline, current, _adjustments(spark, sf_dir), base.select("competence").distinct())
+    """One pass: counts of each month and state with and without late rows, and which months have base and late rows, as columns of one small table."""
+    rows = binding.flow(spark, sf_dir, "competence", "uf", "quantity")
+    base = F.col("adjustment_kind") == "MOV"
+    late = ~base & (F.col("quantity") < 25) & (F.substring("competence", 5, 2) > "06")
+    facts = rows.groupBy("competence", "uf").agg(
+        *[F.sum(f"{c}_delta").cast("bigint").alias(c) for c in METRICS], *[F.sum(F.when(base, F.col(f"{c}_delta"))).cast("bigint").alias(f"base_{c}") for c in METRICS],
+        F.bool_or(base).alias("has_base"), F.bool_or(late).alias("has_late"),
+    )
+    facts = tables.materialize(facts, "history-facts")
+    before = facts.where("has_base").select("competence", "uf", *[F.col(f"base_{c}").alias(c) for c in METRICS])
+    baseline = history.table_snapshot(before, "by-uf")
+    current = history.table_snapshot(facts.where("competence < '200111'").select("competence", "uf", *METRICS), "by-uf")
+    adjustments = facts.where("has_late").select(F.col("competence").alias("effective_competence"))
+    row = history.evaluate_revisions("200012", baseline, current, adjustments, facts.where("has_base AND competence < '2001'").select("competence").distinct())
     lists = [f.name for f in row.schema.fields if f.dataType.typeName() == "array"]
     return row.withColumns({c: F.array_join(c, ",") for c in lists})
 

@@ -18,14 +18,18 @@ from jobtide.sources.tables import scratch_path
 YEAR = 2025
 
 
+def _raw(spark, sf_dir):
+    """The columns that rows are routed by, built once."""
+    return evaluate_once(binding.stock_raw(spark, sf_dir), [*stock.RAW, "source_file"])
+
+
 def _silver(spark, sf_dir):
     return stock.stock_silver(binding.stock_raw(spark, sf_dir))
 
 
 def _routed(spark, sf_dir):
     """Text columns built once per row, as a file scan would give them, then routed."""
-    raw = evaluate_once(binding.stock_raw(spark, sf_dir))
-    return stock.route_stock(stock.stock_silver(raw), YEAR)
+    return stock.route_stock(stock.stock_silver(_raw(spark, sf_dir)), YEAR)
 
 
 def _scope(spark, sf_dir):
@@ -109,8 +113,8 @@ def stock_guard(spark, sf_dir):
 
 @query("unknown_families", f"WITH {STOCK} SELECT DISTINCT fam AS cbo_familia FROM s WHERE active AND fam NOT IN ('2122','2123','2124')")
 def unknown_families(spark, sf_dir):
-    raw = evaluate_once(binding.stock_raw(spark, sf_dir))
-    active = evaluate_once(stock.stock_silver(raw)).where(F.col("status").isin("scope", "out_of_scope"))
+    rows = evaluate_once(stock.stock_silver(_raw(spark, sf_dir)), ["cbo_familia", "status"])
+    active = rows.where(F.col("status").isin("scope", "out_of_scope"))
     known = spark.createDataFrame([(code,) for code in OCCUPATION_FAMILIES], "cbo_familia string")
     return stock.unknown_families(active, known)
 
