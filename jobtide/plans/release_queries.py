@@ -759,6 +759,19 @@ def file_manifests(spark, sf_dir):
     return manifests.build_manifests(files, F.col("source"), F.lit("202401"), F.lit("2024-01-01T00:00:00"))
 
 
+@query(
+    "file_digests",
+    """SELECT CAST(c_nationkey AS VARCHAR) AS nation, CAST(SUM(octet_length(encode(c_name)) + 1) AS BIGINT) AS size_bytes,
+      sha256(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS sha256 FROM customer GROUP BY c_nationkey""",
+)
+def file_digests(spark, sf_dir):
+    """The names of each nation's customers as a file, hashed line by line."""
+    path = tables.scratch_path(spark, "name-files")
+    rows = binding.table(spark, sf_dir, "customer").select("c_name", "c_nationkey", "c_custkey").repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    rows.select("c_name", "c_nationkey").write.partitionBy("c_nationkey").text(path)
+    return manifests.file_digests(spark, path).select(F.regexp_extract("path", "c_nationkey=([^/]*)/", 1).alias("nation"), "size_bytes", "sha256")
+
+
 _PAGES = "pg AS (SELECT page_id, url, regexp_replace(regexp_replace(url, '^https?://', ''), '[?#].*$', '') AS name, sha256(html) AS sha FROM pages)"
 
 

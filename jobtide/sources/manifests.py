@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.errors import ConsistencyError
 from jobtide.fixed_values import EXPECTED_PARTS_BY_YEAR
+from jobtide.sources.files import exact_path, file_of_row, list_files
+from jobtide.sources.tables import scratch_path
 
 MANIFEST_SCHEMA = (
     "source string, competence string, original_name string, size_bytes bigint, sha256 string, "
@@ -15,7 +19,7 @@ MANIFEST_SCHEMA = (
 
 
 def file_facts(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
-    """Path, name, size and SHA-256 of files. For artifacts: a file is one value and must stay below 2 GiB."""
+    """Path, name, size and SHA-256 of files. For artifacts: a file is one value and must stay below 2 GiB (``file_digests`` takes any size)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     return files.load(paths).select(
         "path",
@@ -25,6 +29,82 @@ def file_facts(spark: SparkSession, paths: str | list[str], pattern: str = "*")
     )
 
 
+def _line_hasher():
+    """The function that runs in tasks. It is made here so that it travels whole."""
+
+    def hashed(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        def ended(file, size, last, length, digests):
+            """The reader leaves out a byte order mark at the start; whether it did, and whether the last line is ended, the sizes tell."""
+            closed, missing = (b"\n", size - length - 1) if size - length in (1, 4) else (b"", size - length)
+            digest = digests[1 if missing == 3 else 0]
+            digest.update(last + closed)
+            known = missing in (0, 3)
+            return file, size, digest.hexdigest() if known else None
+
+        now = last = size = None
+        length, digests = 0, ()
+        for batch in batches:
+            done = []
+            for file, whole, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if file != now:
+                    if now is not None:
+                        done.append(ended(now, size, last, length, digests))
+                    now, size, last, length, digests = file, whole, line, len(line), (hashlib.sha256(), hashlib.sha256(b"\xef\xbb\xbf"))
+                    continue
+                for d in digests:
+                    d.update(last + b"\n")
+                last, length = line, length + 1 + len(line)
+            if done:
+                yield pa.RecordBatch.from_pylist([dict(zip(("file", "size", "sha256"), r, strict=True)) for r in done])
+        if now is not None:
+            yield pa.RecordBatch.from_pylist([dict(zip(("file", "size", "sha256"), ended(now, size, last, length, digests), strict=True))])
+
+    return hashed
+
+
+#: Larger than any file, so that a file is one split and several files never share one.
+_WHOLE_FILE = str(1 << 50)
+
+
+def file_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Path, name, size and SHA-256 of files of any size, below folders and globs too.
+
+    A digest needs a file's bytes in order, so each file is one task, which takes them as lines, some thousand at a time; no file is held as
+    a whole. Files that Hadoop would unpack while reading lines are taken as one value (below 2 GiB). The result is stored, as it is a row a
+    file and hashing reads every byte.
+    """
+    files = list_files(spark, paths)
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    packed = [f for f in files if codecs.getCodec(spark._jvm.org.apache.hadoop.fs.Path(f)) is not None]
+    plain = sorted(set(files) - set(packed))
+    found = []
+    if plain:
+        session = spark.newSession()
+        for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+            session.conf.set(name, _WHOLE_FILE)
+        lines = session.read.option("lineSep", "\n").text([exact_path(f) for f in plain])
+        rows = lines.select(file_of_row().alias("file"), F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("line"))
+        path = scratch_path(spark, "digests")
+        rows.mapInArrow(_line_hasher(), "file string, size long, sha256 string").write.parquet(path)
+        hashes = spark.read.schema("file string, size long, sha256 string").parquet(path)
+        # A file without a byte, or with nothing but a byte order mark, has no line.
+        lengths = spark.read.format("binaryFile").load([exact_path(f) for f in plain]).select(file_of_row().alias("file"), "length")
+        none = F.sha2(F.when(F.col("length") > 0, F.unhex(F.lit("EFBBBF"))).otherwise(F.unhex(F.lit(""))), 256)
+        every = lengths.join(hashes, "file", "left")
+        found.append(every.select("file", F.col("length").alias("size_bytes"), F.when(F.col("size").isNull(), none).otherwise(F.col("sha256")).alias("sha256")))
+    if packed:
+        whole = spark.read.format("binaryFile").load([exact_path(f) for f in packed])
+        found.append(whole.select(file_of_row().alias("file"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")))
+    if not found:
+        return spark.createDataFrame([], "path string, original_name string, size_bytes long, sha256 string")
+    facts = reduce(DataFrame.unionByName, found)
+    return facts.select(F.col("file").alias("path"), F.element_at(F.split("file", "/"), -1).alias("original_name"), "size_bytes", "sha256")
+
+
 def build_manifests(files: DataFrame, source: Column, competence: Column, ingested_at: Column) -> DataFrame:
     return files.select(
         source.alias("source"),

@@ -345,3 +345,26 @@ def test_materialize_uses_the_shared_folder(spark, rows):
 def test_schema_guard(rows):
     with pytest.raises(LayoutError):
         tables.union_parts([rows("a int", 1), rows("a bigint", 1)])
+
+
+def test_file_digests_of_any_bytes(spark, tmp_path):
+    import gzip
+    import hashlib
+    import random
+
+    dice = random.Random(6)
+    contents = {
+        "empty": b"", "line": b"a\n", "open": b"a", "breaks": b"\n\n", "crlf": b"a\r\nb\r", "mark": b"\xef\xbb\xbfa\nb", "mark only": b"\xef\xbb\xbf", "mark line": b"\xef\xbb\xbf\n", "twice": b"\xef\xbb\xbf\xef\xbb\xbf",
+        "bytes[1]+%20": dice.randbytes(300_000), "long line": b"x" * 3_000_000 + b"\ny", "many lines": b"abc\n" * 200_000, "a.gz": gzip.compress(b"packed\n"), "d/e.7z": dice.randbytes(50_000) + b"\n",
+    }
+    for name, data in contents.items():
+        (tmp_path / "f" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "f" / name).write_bytes(data)
+    (tmp_path / "f" / "_SUCCESS").write_bytes(b"")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1000)
+    try:
+        found = {r.path.split("/f/")[1]: (r.original_name, r.size_bytes, r.sha256) for r in manifests.file_digests(spark, str(tmp_path / "f")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found == {n: (n.split("/")[-1], len(d), hashlib.sha256(d).hexdigest()) for n, d in contents.items()}
