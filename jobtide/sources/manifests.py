@@ -91,11 +91,11 @@ def file_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         path = scratch_path(spark, "digests")
         rows.mapInArrow(_line_hasher(), "file string, size long, sha256 string").write.parquet(path)
         hashes = spark.read.schema("file string, size long, sha256 string").parquet(path)
-        # A file without a byte, or with nothing but a byte order mark, has no line.
+        # A file without a byte, which Spark does not list, or with nothing but a byte order mark has no line.
         lengths = spark.read.format("binaryFile").load([exact_path(f) for f in plain]).select(file_of_row().alias("file"), "length")
         none = F.sha2(F.when(F.col("length") > 0, F.unhex(F.lit("EFBBBF"))).otherwise(F.unhex(F.lit(""))), 256)
-        every = lengths.join(hashes, "file", "left")
-        found.append(every.select("file", F.col("length").alias("size_bytes"), F.when(F.col("size").isNull(), none).otherwise(F.col("sha256")).alias("sha256")))
+        every = spark.createDataFrame([(f,) for f in plain], "file string").join(lengths, "file", "left").join(hashes, "file", "left")
+        found.append(every.select("file", F.coalesce("length", F.lit(0).cast("long")).alias("size_bytes"), F.when(F.col("size").isNull(), none).otherwise(F.col("sha256")).alias("sha256")))
     if packed:
         whole = spark.read.format("binaryFile").load([exact_path(f) for f in packed])
         found.append(whole.select(file_of_row().alias("file"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")))
