@@ -3,18 +3,46 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobtide.errors import LayoutError
 from jobtide.fixed_values import OCCUPATION_FAMILIES
-from jobtide.operators import gates, stock
+from jobtide.operators import contracts, gates, quality, stock
 from jobtide.operators.stock import ValueContract
 from jobtide.sources.layout import inspect_layouts
 from jobtide.sources.stock_text import read_stock_text
 from jobtide.sources.tables import read_table, write_table
 
 
+STATUS_COLUMNS = ["active_raw", "abandoned_raw"]
+
+
+def build_value_checks(spark: SparkSession, raw: DataFrame, root: str, contract: ValueContract) -> DataFrame:
+    """Store what the files hold before any row is routed: every value of the status columns by file (``value_counts``), a profile of the four columns by
+    file and over all files (``profile``), and the contract of each status column (``value_contract``), which is returned. All rows count, no sample."""
+    counts = quality.value_counts(raw, STATUS_COLUMNS, ["source_file"])
+    write_table(counts, f"{root}/value_counts")
+    write_table(quality.profile_by_file_and_overall(raw, "source_file", stock.RAW), f"{root}/profile")
+    accepted = {"active_raw": (contract.active, contract.inactive), "abandoned_raw": (contract.eligible, contract.excluded)}
+    stored = read_table(spark, f"{root}/value_counts")
+    checks = [
+        contracts.binary_value_contract(stored.where(F.col("concept") == name).select("value", "n"), *values).withColumn("concept", F.lit(name))
+        for name, values in accepted.items()
+    ]
+    write_table(reduce(DataFrame.unionByName, checks), f"{root}/value_contract")
+    return read_table(spark, f"{root}/value_contract")
+
+
+def require_values(checks: DataFrame) -> None:
+    """Stop on a status column with an unknown or blank value, or without one of its two classes."""
+    bad = checks.where(~F.col("valid")).select("concept", "unknown_values", "unknown_count", "blank_values").collect()
+    if bad:
+        raise LayoutError("; ".join(f"{r.concept}: {r.unknown_count} unknown values ({', '.join(r.unknown_values[:5])}), {r.blank_values} blanks" for r in bad))
+
+
 def build_stock_silver(
     spark: SparkSession,
     directory: str,
@@ -23,8 +51,11 @@ def build_stock_silver(
     contract: ValueContract = ValueContract(),
     families: Iterable[str] = tuple(OCCUPATION_FAMILIES),
 ) -> None:
-    """One scan per distinct file layout; all rows stored with their status; scope and rejects read it back pruned."""
-    raw = read_stock_text(spark, inspect_layouts(spark, directory))
+    """One scan per distinct file layout; values are held against their contract, then all rows stored with their status; scope and rejects read it
+    back pruned."""
+    write_table(read_stock_text(spark, inspect_layouts(spark, directory)), f"{root}/raw")
+    raw = read_table(spark, f"{root}/raw")
+    require_values(build_value_checks(spark, raw, root, contract))
     write_table(stock.stock_silver(raw, contract, families), f"{root}/rows", ["status"])
     rows = read_table(spark, f"{root}/rows")
     routed = stock.route_stock(rows, year, stored=True)

@@ -162,6 +162,22 @@ def test_layouts_and_text_scan(spark, tmp_path):
     assert {r.uf: r.active_stock for r in spark.read.parquet(f"{root}/by_uf").collect()} == {"CE": 4, "RS": 1}
 
 
+def test_values_are_checked_before_rows(spark, tmp_path):
+    """One unknown status in the last file stops the load; what was found is stored, also values beyond a summary's list."""
+    folder, root = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEADER + BODY, encoding="utf-8")
+    many = "".join(f"212405,230440,odd {i},0,30\n" for i in range(70))
+    (folder / "b.csv").write_text(HEADER + BODY + many + "212405,230440,1,,30\n", encoding="utf-8")
+    with pytest.raises(LayoutError, match=r"active_raw: 70 unknown values .*; abandoned_raw: 0 unknown values \(\), 1 blanks"):
+        build_stock_silver(spark, str(folder), root, 2025, families=FAMILIES)
+    counts = spark.read.parquet(f"{root}/value_counts")
+    assert counts.where("source_file = 'b.csv' and concept = 'active_raw' and value like 'odd%'").count() == 70
+    profile = {(r.source_file, r.concept): r for r in spark.read.parquet(f"{root}/profile").collect()}
+    assert profile[None, "active_raw"].distinct_in_sample == 72 and profile["a.csv", "active_raw"].digits_only == 5
+    assert not (tmp_path / "out" / "rows").exists()
+
+
 def test_bad_layouts(spark, tmp_path):
     (tmp_path / "short.csv").write_text("a;b;c\n1;2;3\n")
     (tmp_path / "twice.csv").write_text("a;A ;c;d;e\n")
