@@ -139,8 +139,8 @@ units AS (
   SELECT doc_id, false, unnest(string_split(text, chr(10))) FROM documents WHERE contains(text, chr(10)))
 SELECT doc_id, license, bool_or(whole) AS whole, count(*) AS n_lines
 FROM units JOIN wanted ON {_canonical_sql("piece")} = form AND form <> '' GROUP BY doc_id, license""",
-    "op4_mix_sources": r"""
-WITH d AS (
+    "op4_mix_sources": rf"""
+WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
     ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 15))::BIGINT AS hash
   FROM documents),
@@ -153,13 +153,18 @@ leveled AS (
 final AS (SELECT arg_min(level, source_size / weight) AS level FROM leveled WHERE level * weight < cap),
 targets AS (SELECT source, source_size, least(cap, coalesce(weight * (SELECT level FROM final), cap))::DOUBLE AS target FROM leveled),
 budgets AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
-running AS (
-  SELECT d.*, source_size, target, whole, target - whole * source_size AS budget,
-    sum(size) OVER (PARTITION BY d.source ORDER BY hash RANGE UNBOUNDED PRECEDING) AS upto
-  FROM d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source)
-SELECT doc_id, size, source_size, round(target, 6) AS target,
-  (size * least(2, whole + CASE WHEN upto <= budget THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM running""",
+units AS (
+  SELECT source, hash, sum(size) AS unit, max(size) AS one, row_number() OVER (PARTITION BY source ORDER BY hash) AS k FROM d GROUP BY source, hash),
+walk AS (
+  SELECT source, target, 0::BIGINT AS k, (target - whole * source_size)::DOUBLE AS room, 9e18::DOUBLE AS most, false AS done, false AS chosen FROM budgets
+  UNION ALL
+  SELECT w.source, target, w.k + 1, CASE WHEN NOT done AND one <= most AND unit <= room THEN room - unit ELSE room END,
+    CASE WHEN NOT done AND one <= most AND unit > room THEN floor(room) ELSE most END,
+    done OR (one <= most AND unit > room AND room <= {mixing.NEAR} * target), NOT done AND one <= most AND unit <= room
+  FROM walk w JOIN units u ON u.k = w.k + 1 AND u.source IS NOT DISTINCT FROM w.source),
+more AS (SELECT u.source, u.hash FROM units u JOIN walk w ON u.k = w.k AND u.source IS NOT DISTINCT FROM w.source WHERE chosen)
+SELECT doc_id, size, source_size, round(target, 6) AS target, (size * least(2, whole + CASE WHEN more.hash IS NOT NULL THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source LEFT JOIN more ON more.hash = d.hash AND more.source IS NOT DISTINCT FROM d.source""",
     "op8_exact_dedup": """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -228,6 +228,24 @@ def test_mix_comes_near_and_agrees(spark):
     assert len(total) == 8 and all(target - 17 <= taken <= target + 1e-6 for (_, target), taken in total.items())
 
 
+def test_mix_goes_on_behind_a_long_text(spark):
+    """One text is larger than what a source may take; the others fill its target."""
+    rows = [(i, "w " * (3000 if i % 40 == 7 else 1 + i % 9), f"s{i % 2}") for i in range(400)] + [(1000, "x " * 50_000, "s1"), (1001, "x " * 9, None), (1001, "x " * 9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix_counts(docs).collect()
+    total, targets = defaultdict(int), {}
+    source = {i: s for i, _, s in rows}
+    for r in found:
+        total[source[r.doc_id]] += r.taken
+        targets[source[r.doc_id]] = r.target
+        assert r.taken in (0, r.size, 2 * r.size)
+    for s, target in targets.items():
+        room = target - total[s]
+        # Short of the target only by what no text that is left out could fill.
+        assert 0 <= room + 1e-6 and (room <= mixing.NEAR * target or not any(r.taken == 0 and r.size <= room for r in found if source[r.doc_id] == s))
+    assert mixing.mix(docs).count() == sum(r.taken // r.size for r in found)
+
+
 @lru_cache(maxsize=1)
 def library():
     """The tokenizer as its users load it, apart from the operator's own."""
