@@ -185,15 +185,27 @@ def _plain(texts: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
     return plain, plain.schema["doc"].dataType.simpleString()
 
 
+def entity_classes(held: DataFrame) -> DataFrame:
+    """``one``, ``entity``, ``n_e`` from (``doc``, ``text_hash``, ``copies``, ``entity``): for each entity, one that stands for it, and the rows that hold it.
+
+    Entities that the same texts hold have the same counts with each term, so the least of them stands for all and a text is paired with as many
+    classes as differ, not with each address in it. Sets of texts are told apart by their number and two sums of 64-bit hashes.
+    """
+    sums = [F.sum(F.xxhash64("doc", "text_hash", F.lit(i)).cast("decimal(38,0)")).alias(f"set_{i}") for i in range(2)]
+    of_entity = held.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("texts"), *sums)
+    keys = ["texts", "set_0", "set_1"]
+    least = of_entity.groupBy(*keys).agg(F.min("entity").alias("least"))
+    return of_entity.join(least, keys).select(F.col("entity").alias("one"), F.col("least").alias("entity"), "n_e")
+
+
 def disclosing_terms(plain: DataFrame, kind: str, found: DataFrame, prior: float = PRIOR, least: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
     """The texts that hold an entity (``doc``, ``text_hash``, ``text``), and for each of them its disclosing terms (``doc``, ``text_hash``, ``terms``: term and greatest share of an entity's information)."""
     documents = found.count()
     held = found.where(F.size("entities") > 0).groupBy("doc", "text_hash").agg(F.first("entities").alias("entities"), F.count(F.lit(1)).alias("copies"))
     held = stored(held.select("doc", "text_hash", "copies", F.explode("entities").alias("entity")), "pii-held")
-    known = stored(held.groupBy("entity").agg(F.sum("copies").alias("n_e"), (F.min("text_hash") < F.max("text_hash")).alias("spread")), "pii-entities")
-    # Entities that only one text holds have the same counts with each term: one of them stands for all, so pairs do not multiply.
-    chosen = F.concat(F.collect_set(F.when(F.col("spread"), F.col("entity"))), F.array_compact(F.array(F.min(F.when(~F.col("spread"), F.col("entity"))))))
-    risky = stored(held.join(known, "entity").groupBy("doc", "text_hash").agg(F.first("copies").alias("copies"), chosen.alias("entities")), "pii-risky")
+    classes = stored(entity_classes(held), "pii-entities")
+    known = classes.groupBy("entity").agg(F.first("n_e").alias("n_e"))
+    risky = stored(held.withColumnRenamed("entity", "one").join(classes, "one").groupBy("doc", "text_hash").agg(F.first("copies").alias("copies"), F.collect_set("entity").alias("entities")), "pii-risky")
     bodies = plain.alias("t").join(risky.alias("r"), _same_row("t", "r")).select("t.doc", "t.text_hash", "r.copies", "t.text", "r.entities").dropDuplicates(["doc", "text_hash"])
     bodies = stored(bodies, "pii-bodies")
     pairs = stored(map_arrow(bodies, _paired, f"doc {kind}, text_hash bigint, copies bigint, entity string, term binary"), "pii-pairs")

@@ -515,6 +515,17 @@ def test_shares_equal_brute_force(spark):
     assert {i: sorted(set(term_spans(found[i], t))) for i, t in rows} == want
 
 
+def test_entities_of_the_same_texts_are_one_class(spark):
+    """Copies full of addresses: as many pairs as terms, not addresses times terms; others stay apart."""
+    many = " ".join(f"u{i}@a.org word{i}" for i in range(40))
+    rows = [(1, many), (2, many + " and more"), (3, "u1@a.org alone"), (4, "z@b.org alone"), (4, "z@b.org alone"), (None, "u2@a.org none")]
+    held = [(i, len(t), n, f"email:{e}") for (i, t), n in {r: rows.count(r) for r in rows}.items() for e in dict.fromkeys(re.findall(r"\S+@\S+", t))]
+    classes = {r.one: (r.entity, r.n_e) for r in disclosure.entity_classes(spark.createDataFrame(held, "doc long, text_hash long, copies long, entity string")).collect()}
+    same = {f"email:u{i}@a.org" for i in range(40)} - {"email:u1@a.org", "email:u2@a.org"}
+    assert {classes[e] for e in same} == {(min(same), 2)} and classes["email:u1@a.org"] == ("email:u1@a.org", 3)
+    assert classes["email:u2@a.org"] == ("email:u2@a.org", 3) and classes["email:z@b.org"] == ("email:z@b.org", 2)
+
+
 def test_personal_data_in_odd_rows(odd):
     found = disclosure.find_personal(odd).collect()
     assert len(found) == len(TEXTS) + 1 and {r.spans for r in found} == {""} and {r.base_sha256 for r in found} == {hashlib.sha256(b"").hexdigest()}
