@@ -12,9 +12,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces that a Python worker remembers at most, besides those of the texts at hand.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Bytes of texts that are taken apart at a time.
-TOGETHER = 16 << 20
+TOGETHER = 4 << 20
 
 #: Texts that are encoded whole: white space next to white space or at an end, or other than a space and a line feed, or the mark itself.
 ODD = r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\x01\t\r\v\f\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
