@@ -3,53 +3,64 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, StructType
 
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def double_text(value: Column) -> Column:
     """The shortest decimal text that reads back as the number: plain digits from 0.0001 up to 16 places before the point, else with an
     exponent of two digits or more (``15000000000.0``, ``1e+16``, ``1.5e-07``)."""
+    zero = F.lit("0")
 
     def parts(text: Column) -> Column:
-        whole, places = F.regexp_extract(text, "^([0-9]+)", 1), F.regexp_extract(text, r"\.([0-9]+)", 1)
-        shift = F.coalesce(F.regexp_extract(text, r"[Ee]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-        digits = F.concat(whole, places)
-        lead = F.length(digits) - F.length(F.ltrim(digits, F.lit("0")))
-        return F.struct(F.rtrim(F.ltrim(digits, F.lit("0")), F.lit("0")).alias("digits"), (F.length(whole) + shift - lead).alias("point"))
+        """The number as 0.digits times ten to the power of point."""
+        mantissa = F.substring_index(text, "E", 1)
+        whole = F.substring_index(mantissa, ".", 1)
+        shift = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).try_cast("int")).otherwise(0)
+        padded = F.concat(whole, F.substring_index(mantissa, ".", -1))
+        digits = F.ltrim(padded, zero)
+        return F.struct(F.rtrim(digits, zero).alias("digits"), (F.length(whole) + shift - F.length(padded) + F.length(digits)).alias("point"))
+
+    def shorter(p: Column, less: int, add: int) -> Column:
+        """The digits without the last ``less``, if they read back as the number."""
+        kept = F.call_function("div", p["digits"].try_cast("bigint") + F.lit(add), F.lit(10**less)).cast("string")
+        power = p["point"] - F.length(p["digits"]) + less
+        same = F.concat(kept, F.lit("E"), power.cast("string")).try_cast("double") == F.abs(value)
+        return F.when(same, F.struct(F.rtrim(kept, zero).alias("digits"), (power + F.length(kept)).alias("point")))
+
+    def shortest(p: Column) -> Column:
+        """The platform's text is at times longer than need be, by two digits at most: beyond 15 digits, and where numbers lie less dense."""
+        tried = F.coalesce(shorter(p, 2, 50), shorter(p, 2, 0), shorter(p, 1, 5), shorter(p, 1, 0), p)
+        return F.when((F.length(p["digits"]) > 15) | (F.abs(value) < 1e-300), tried).otherwise(p)
 
     def written(p: Column) -> Column:
-        """The number 0.digits times ten to the power of point."""
         d, point, size = p["digits"], p["point"], F.length(p["digits"])
-        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), d)
-        whole = F.concat(d, F.repeat(F.lit("0"), point - size), F.lit(".0"))
+        small = F.concat(F.lit("0."), F.repeat(zero, -point), d)
+        whole = F.concat(d, F.repeat(zero, point - size), F.lit(".0"))
         inside = F.concat(F.substr(d, F.lit(1), point), F.lit("."), F.substr(d, point + 1))
         power = F.abs(point - 1).cast("string")
-        tail = F.concat(F.when(point > 0, F.lit("e+")).otherwise(F.lit("e-")), F.when(F.length(power) < 2, F.concat(F.lit("0"), power)).otherwise(power))
+        tail = F.concat(F.when(point > 0, F.lit("e+")).otherwise(F.lit("e-")), F.when(F.length(power) < 2, F.concat(zero, power)).otherwise(power))
         long = F.concat(F.substr(d, F.lit(1), F.lit(1)), F.when(size > 1, F.concat(F.lit("."), F.substr(d, F.lit(2)))).otherwise(""), tail)
         plain = F.when(point <= 0, small).when(point >= size, whole).otherwise(inside)
         return F.when((point < -3) | (point > 16), long).otherwise(plain)
 
-    exact = F.abs(value).cast("string")
-    # The platform's text is at times longer than need be, by two digits at most.
-    size = F.length(F.regexp_replace(F.regexp_replace(exact, "E.*$", ""), r"\D", ""))
-
-    def rounded(less: int) -> Column:
-        places = F.greatest(size - 1 - less, F.lit(0)).cast("string")
-        text = F.call_function("format_string", F.concat(F.lit("%."), places, F.lit("e")), F.abs(value))
-        return F.when(text.try_cast("double") == F.abs(value), text)
-
-    def cut(less: int) -> Column:
-        digits = F.regexp_extract(exact, "^[0-9.]+", 0)
-        text = F.concat(F.substr(digits, F.lit(1), F.length(digits) - less), F.regexp_extract(exact, "E.*$", 0))
-        return F.when(text.try_cast("double") == F.abs(value), text)
+    def spelled(text: Column) -> Column:
+        exact = F.ltrim(text, F.lit("-"))
+        # Plain digits, 15 at most and none in vain: no shorter text reads back as the number.
+        done = ~F.contains(text, F.lit("E")) & (F.length(exact) <= 16) & (F.endswith(text, F.lit(".0")) | ~F.endswith(text, zero))
+        sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+        unsigned = _once(_once(parts(exact), shortest), written)
+        return F.when(done | F.isnan(value) | (F.abs(value) == float("inf")), text).otherwise(F.concat(sign, unsigned))
 
-    best = F.coalesce(rounded(2), cut(2), rounded(1), cut(1), exact)
-    unsigned = F.transform(F.array(parts(best)), written)[0]
-    sign = F.when(F.startswith(value.cast("string"), F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-    return F.when(F.isnan(value) | (F.abs(value) == float("inf")), value.cast("string")).when(value == 0, F.concat(sign, F.lit("0.0"))).otherwise(F.concat(sign, unsigned))
+    return _once(value.cast("string"), spelled)
 
 
 def _has_double(data_type: DataType) -> bool:

@@ -198,3 +198,10 @@ def test_double_text_is_the_shortest(spark):
     assert not wrong, wrong[:5]
     nested = spark.createDataFrame([((1e8, None), [1.5e-7, None], "é\"/", None, 2)], "s struct<b double, a string>, l array<double>, t string, n double, i int")
     assert nested.select(fingerprints.canonical_json(nested)).first()[0] == '{"i":2,"l":[1.5e-07,null],"n":null,"s":{"a":null,"b":100000000.0},"t":"é\\"/"}'
+
+
+def test_double_text_spells_a_number_once(spark):
+    """Steps share what they build on, also where Spark does not share it (in lambdas): the cost of a row grows with the size of the plan."""
+    df = spark.createDataFrame([(1.5,)], "d double")
+    plan = df.select(fingerprints.double_text(F.col("d")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as string") < 30 and plan.count("format_string") == 0
