@@ -16,6 +16,7 @@ from jobtide.fixed_values import (
     STOCK_SUFFIXES,
 )
 from jobtide.functions.text import snake_header_column
+from jobtide.sources.tables import materialize
 
 
 def read_file_heads(spark: SparkSession, directory: str) -> DataFrame:
@@ -29,17 +30,20 @@ def read_file_heads(spark: SparkSession, directory: str) -> DataFrame:
     supported = F.lower("file").rlike("(" + "|".join(s.replace(".", r"\.") for s in STOCK_SUFFIXES) + ")$")
     names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
     lines = spark.read.option("recursiveFileLookup", True).text(directory)
-    line = lines.select(
+    placed = lines.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
-        F.is_valid_utf8("value").alias("valid"),
-        F.col("value").rlike(r"(?U)\S").alias("filled"),
-        F.col("value").cast("binary").alias("raw"),
+        "value",
     )
-    first = F.min(F.when(F.col("filled"), F.struct("block", "place", "raw"))).getField("raw")
-    heads = line.where(supported).groupBy("file").agg(F.bool_and("valid").alias("valid"), first.alias("raw"))
-    files = names.select("path", F.col("_metadata.file_path").alias("file")).where(supported).join(heads, "file", "left")
+    marked = placed.select("file", "block", "place", F.is_valid_utf8("value").alias("valid"), F.col("value").rlike(r"(?U)\S").alias("filled"))
+    # Numbers only, over all lines: they are summed up in place. The first line itself is fetched by its place, which every scan gives alike.
+    blocks = marked.groupBy("file", "block").agg(F.bool_and("valid").alias("valid"), F.min(F.when(F.col("filled"), F.col("place"))).alias("place")).where(supported)
+    first = F.min(F.when(F.col("place").isNotNull(), F.struct("block", "place"))).getField("place")
+    heads = materialize(blocks.groupBy("file").agg(F.bool_and("valid").alias("valid"), first.alias("place")), "file-heads")
+    wanted = F.broadcast(heads.where("place IS NOT NULL").select("file", "place"))  # one row per file
+    raw = placed.join(wanted, ["file", "place"]).select("file", F.col("value").cast("binary").alias("raw"))
+    files = names.select("path", F.col("_metadata.file_path").alias("file")).where(supported).join(heads.join(raw, "file", "left"), "file", "left")
     valid = F.coalesce("valid", F.lit(True))
     header = F.when(valid, F.decode("raw", "UTF-8")).otherwise(F.decode("raw", "ISO-8859-1"))
     return files.select("path", F.when(valid, utf8).otherwise(any_bytes).alias("encoding"), header.alias("header_line"))

@@ -52,6 +52,7 @@ def read_stock_text(spark: SparkSession, layouts: DataFrame, aliases=None) -> Da
     (``quoted``), after one scan that looks for lines with an open quote. ``layouts`` comes from ``inspect_layouts``; it has one small row per
     file and is read on the driver to plan the scans.
     """
+    layouts = materialize(layouts, "layouts")  # every line of every file was read for them
     require_valid_layouts(layouts)
     columns_of = concept_columns(match_aliases(layouts, aliases or STOCK_REQUIRED_ALIASES))
     groups: dict[tuple, list[tuple[str, str]]] = {}

@@ -87,3 +87,15 @@ def test_annual_files_with_breaks(spark, tmp_path, small_parts):
         found = read_stock_text(spark, inspect_layouts(spark, str(tmp_path))).collect()
         expected = [(f"2124-{i:02}", "4314902", str(i % 2), "0", f) for i in range(40) for f in ("SP 1+%20.txt", "SUL.csv")] + [("212405", "330455", "1", "0", "RIO.csv")]
         assert sorted(tuple(r) for r in found) == sorted(expected)
+
+
+def test_lines_are_not_shuffled_or_sorted(spark, tmp_path, small_parts):
+    """Parts are summed up in place, lines joined where they are read; only pieces of records over the end of a part are brought together."""
+    (tmp_path / "a.csv").write_text("h;b\n" + "".join(f'{i};"x\ny"\n' for i in range(400)))
+    small_parts(300)
+    lines = quoted.text_lines(spark, [str(tmp_path / "a.csv")])
+    states = quoted.part_states(lines, ";")
+    found = quoted.read_records(lines, states, ";")
+    assert found.count() == 400
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Aggregate") == 1 and plan.count("MapInArrow") == 2
