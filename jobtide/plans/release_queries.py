@@ -608,7 +608,10 @@ def guarded_release_load(spark, sf_dir):
         F.concat(F.lit("000"), (F.regexp_extract("cbo_familia", "[0-9]+", 0).cast("int") % 5).cast("string")).alias("cbo_familia"),
         (F.col("municipio_codigo_caged").cast("bigint") % 5).cast("string").alias("municipio_codigo_caged"),
     )
-    gates = _stored_gates(spark, sf_dir).select("competence", "publishable")
+    # Every load and its checks go back to the movements: they are counted once, at the finest grain that the tables need.
+    named = tables.materialize(_counts(named, "competence", "adjustment_kind", "uf", "cbo_familia", "municipio_codigo_caged"), "release-counts")
+    named = named.withColumnsRenamed({c: f"{c}_delta" for c in METRICS})
+    gates = tables.materialize(_stored_gates(spark, sf_dir).select("competence", "publishable"), "release-gates")
 
     def served(part, allowed):
         shown = analytics.published_only(part, analytics.published_months(allowed))

@@ -105,3 +105,34 @@ def test_two_loads_at_once(spark, rows, tmp_path, monkeypatch):
     monkeypatch.undo()
     assert releases.read_release(spark, root, "a").first().n == 1
     assert [p.name for p in (tmp_path / "shop" / "manifests").iterdir() if not p.name.startswith(".")] == ["00000001.json"]
+
+
+def test_guarded_loads_count_the_movements_once(spark, tmp_path, monkeypatch):
+    """No frame of the four loads, nor their gates, goes back to the tables."""
+    from datetime import datetime
+
+    from jobtide.operators import serving
+    from jobtide.plans.release_queries import guarded_release_load
+
+    at = datetime(1998, 3, 4)
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(0, "ASIA")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "N", 0)]),
+        "supplier": ("s_suppkey long, s_nationkey int, s_acctbal double", [(1, 0, 1.0), (7, 0, 1.0)]),
+        "part": ("p_partkey long, p_brand string, p_type string", [(1, "Brand#1", "SMALL")]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp", [(1, 1, "O", 5.0, at), (2, 1, "F", 6.0, datetime(1998, 4, 4))]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+                     [(1, 1, s, n, 9.0, 1e4, 0.01, "N", "O", at) for s in (1, 7) for n in (1, 2, 7)] + [(2, 1, 1, 1, 9.0, 1e4, 0.01, "R", "O", datetime(1998, 4, 4))]),
+    }
+    for name, (schema, values) in tables.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    seen, load = [], serving.load_release
+
+    def watched(session, frames, root, gates):
+        seen.extend(f for frame in (frames.release, frames.uf, frames.occupation, frames.municipality, gates) for f in frame.inputFiles())
+        return load(session, frames, root, gates)
+
+    monkeypatch.setattr(serving, "load_release", watched)
+    found = {tuple(r) for r in guarded_release_load(spark, str(tmp_path)).collect()}
+    assert found == {("dataset_release", "19980301", "-", 6, 0, 6), ("market_uf", "19980301", "AS", 6, 0, 6), ("market_occupation", "19980301", "0001", 6, 0, 6), ("market_municipality", "19980301", "1", 3, 0, 3), ("market_municipality", "19980301", "2", 3, 0, 3)}
+    assert seen and not [f for f in seen if str(tmp_path / "lineitem.parquet") in f or str(tmp_path / "orders.parquet") in f]
