@@ -62,3 +62,9 @@ def first_lines(spark: SparkSession, files: list[str]) -> DataFrame:
 def file_of_row() -> Column:
     """The file that a row was read from, spelled as :func:`list_files` does."""
     return F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+
+
+def spelled_in_rows(spark: SparkSession, file: str) -> set[str]:
+    """How rows may name a file that :func:`list_files` found: the other way round from :func:`file_of_row`, done once per file."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(file).toUri().toString()
+    return {name, re.sub("^([A-Za-z][A-Za-z0-9+.-]*):/(?!/)", r"\1:///", name)}

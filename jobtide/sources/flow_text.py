@@ -16,7 +16,7 @@ from jobtide.errors import LayoutError
 from jobtide.fixed_values import FLOW_COLUMN_NAMES, FLOW_REQUIRED_HEADERS
 from jobtide.functions.movement import checked_kind
 from jobtide.functions.text import compact_header, compact_header_column, null_tokens_to_null
-from jobtide.sources.files import exact_path, file_of_row, first_lines, list_files
+from jobtide.sources.files import exact_path, first_lines, list_files, spelled_in_rows
 from jobtide.sources.layout import split_header
 
 DELIMITER = ";"
@@ -44,7 +44,7 @@ def _scan(spark: SparkSession, files: list[str], names: list[str]) -> DataFrame:
     """
     schema = StructType([StructField(name, StringType()) for name in names])
     reader = spark.read.options(sep=DELIMITER, header=True, mode="FAILFAST", escape='"', encoding="UTF-8", columnPruning=False)
-    return reader.schema(schema).csv([exact_path(f) for f in files]).select("*", file_of_row().alias(_FILE))
+    return reader.schema(schema).csv([exact_path(f) for f in files]).select("*", F.col("_metadata.file_path").alias(_FILE))
 
 
 def _read_files(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -123,6 +123,9 @@ def read_flow_files(spark: SparkSession, loads: list[tuple[str, str, str]]) -> D
         for file in list_files(spark, path):
             if of_file.setdefault(file, own) != own:
                 raise LayoutError(f"{file} is given for two months or kinds")
-    known = spark.createDataFrame([(f, k, m) for f, (m, k) in of_file.items()], f"{_FILE} string, file_kind string, ingest_competence string")
-    # One row per file: every row of a scan finds its own, so the inner join drops none.
-    return _read_files(spark, sorted(of_file)).join(known, _FILE).drop(_FILE)
+    spelled = [(name, k, m) for f, (m, k) in of_file.items() for name in spelled_in_rows(spark, f)]
+    # A small row per file, listed on the driver: sent to every task, so that the rows themselves are not dealt out by file.
+    known = F.broadcast(spark.createDataFrame(spelled, f"{_FILE} string, file_kind string, ingest_competence string"))
+    rows = _read_files(spark, sorted(of_file)).join(known, _FILE, "left")
+    unknown = F.raise_error(F.concat(F.lit("a row of a file that was not given: "), F.col(_FILE))).cast("string")
+    return rows.withColumn("file_kind", F.coalesce("file_kind", unknown)).drop(_FILE)

@@ -79,3 +79,15 @@ def test_heads_of_packed_and_endless_lines(spark, tmp_path):
     (tmp_path / "b.txt").write_bytes(b"x" * (files.HEADER_BYTES + 1))
     with pytest.raises(LayoutError, match="longer than"):
         read_flow(spark, str(tmp_path), "202607")
+
+
+def test_rows_learn_their_month_without_a_shuffle(spark, tmp_path):
+    """Also from files with signs in their names that addresses write otherwise."""
+    names = ["Competência Mov", "UF", "Município", "Saldo Movimentação", "CBO 2002 Ocupação", "Tipo Movimentação", "Salário"]
+    loads = []
+    for i, name in enumerate(["a b+c%20.txt", "é=1.txt"]):
+        loads.append((_flow_file(tmp_path / name, names, ["202607", "23", "230440", "1", "212405", "10", str(i)]), f"20260{i + 1}", ["MOV", "EXC"][i]))
+    found = read_flow_files(spark, loads)
+    assert {(r.ingest_competence, r.file_kind, r.salario_mensal) for r in found.collect()} == {("202601", "MOV", "0"), ("202602", "EXC", "1")}
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "url_decode" not in plan.lower()
