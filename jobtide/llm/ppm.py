@@ -1,10 +1,10 @@
 """Language-model scores by prediction by partial matching over the bytes of texts.
 
-The context of a byte is up to ``order`` bytes before it in the text, whose words stand one space apart. A word's
-probability depends on the ``order`` bytes before it alone, so these and the word are a unit that is scored once, however
-many texts hold it, and a text's code length is the sum over its units. Without ``across``, the contexts of a word end at
-its start, which counts as white space. The context trie is a set of tables, one per length, made from the counts of all
-training units; nothing of it is held whole anywhere.
+The context of a byte is up to ``order`` bytes before it in the text, whose words stand one space apart. Without ``across``,
+the contexts of a word end at its start, which counts as white space. A gram is a byte and the ``order`` bytes before it; its
+probability is looked up once, however often texts hold it. Texts are gathered into chunks, and only a chunk's distinct grams
+and words travel: to their counts, and back with their logarithms to the chunk's texts, which sum them by place. The context
+trie is a set of tables, one per length, made from the counts of all training grams; nothing of it is held whole anywhere.
 
 A byte is predicted in its longest context that training has seen. What that context has not seen is escaped with the
 estimate "distinct / (total + distinct)", and the next shorter context then leaves out (excludes) all bytes that the
@@ -13,168 +13,273 @@ longer one could have given. Below the empty context all bytes not yet excluded
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobtide.llm.frames import map_arrow, stored, strings
+from jobtide.llm.frames import map_arrow, stored
 
 #: The token after each text, and the byte after each word. Neither can be part of a word.
 END, AFTER = b"\n", 0x20
-#: Texts and tokens that one task gathers before it hands on their words.
-CHUNK_TEXTS, CHUNK_TOKENS = 60_000, 3_000_000
-MOST_IN_REF = 65_535
-#: Texts whose sums one task holds.
-MOST_SUMS = 2_000_000
-#: Texts whose sums travel in one row.
-BLOCK_TEXTS = 256
+#: Texts, bytes, and distinct grams and words that one chunk gathers before it hands them on.
+CHUNK_TEXTS, CHUNK_BYTES, CHUNK_GRAMS, CHUNK_WORDS = 60_000, 64 << 20, 4_000_000, 1_000_000
+#: Bytes of texts that travel in one row, and that are taken apart at once. A longer text is a row of its own.
+BLOCK, PIECE = 4 << 20, 1 << 22
+GAP = re.compile(rb"[ \t-\r]")
+#: Rows that a task hands on at once, and that it packs at once into blocks by chunk.
+ROWS, PACKED_ROWS = 100_000, 1_000_000
+#: Blocks of grams and of words, before the chunk's texts (1, 2, ...).
+GRAMS, WORDS = -2, -1
+
+
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    """The bytes in parts of about ``PIECE``, cut at white space."""
+    at = 0
+    while len(raw) - at > PIECE:
+        gap = GAP.search(raw, at + PIECE)
+        end = gap.start() if gap else len(raw)
+        yield raw[at:end]
+        at = end
+    yield raw[at:]
+
+
+def _grams(block: bytes, order: int, across: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Parts of a block of texts, each text its words with a space after each and an end. For each place the byte with the
+    ``order`` bytes before it, packed in one number, the byte itself lowest; whether the byte is one of the text; the places
+    that begin the part's texts, and the number in the block of the first of these."""
+    pad = bytes([AFTER]) * order
+    if not across:
+        block = block.replace(bytes([AFTER]), bytes([AFTER]) + pad)
+    spelled = (END + block).replace(END, END + pad)
+    raw = np.frombuffer(spelled, np.uint8)
+    size = len(spelled) - order - 1
+    eights = np.ndarray((size,), ">u8", spelled + bytes(8), offset=1, strides=(1,))
+    last = 0
+    for a in range(0, size, PIECE):
+        b = min(a + PIECE, size)
+        here, before = raw[a + order + 1 : b + order + 1], raw[a + order : b + order]
+        new = before == END[0]
+        inside = (here != AFTER) | ((before != AFTER) & ~new)
+        first = last + bool(a and new[0])
+        new[0] = True
+        begins = np.flatnonzero(new)
+        last = first + len(begins) - 1
+        yield (eights[a:b].astype(np.uint64) >> np.uint64(8 * (7 - order))).view(np.int64), inside, begins, first
+
+
+def _distinct(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and the sums of their counts."""
+    if not values:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    every = np.concatenate(values)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    edges = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))[: len(every)]
+    return every[edges], np.add.reduceat(np.concatenate(counts)[order], edges) if len(edges) else np.zeros(0, np.int64)
 
 
 class _Chunk:
-    """Units of many texts, turned round: for each unit the texts that hold it and how often."""
-
-    def __init__(self, base: int, order: int, across: bool):
-        self.base, self.order, self.across = base, order, across
-        self.pad = bytes([AFTER]) * order
-        self.number: dict[bytes, int] = {}
-        self.next = count()
-        self.ids: list[np.ndarray] = []
-        self.docs: list[int | None] = []
-        self.held: list[bool] = []
-        self.tokens = 0
-
-    def add(self, doc: int | None, held: bool, text: str) -> None:
-        words = text.encode().lower().split()
-        number, following = self.number, self.next
-        words.append(END)
-        if self.across and self.order:
-            # Where the text with its words one space apart has each word, and what stands before it.
-            whole, order, at, units = self.pad + bytes([AFTER]).join(words), self.order, 0, []
-            for word in words:
-                end = at + order + len(word)
-                units.append(whole[at:end])
-                at = end + 1 - order
-        else:
-            units = [self.pad + word for word in words]
-        for unit in set(units):
-            if unit not in number:
-                number[unit] = next(following)
-        self.ids.append(np.fromiter(map(number.__getitem__, units), np.int32, len(units)))
-        self.docs.append(doc)
-        self.held.append(held)
-        self.tokens += len(words)
-
-    def rows(self, kind: pa.DataType) -> pa.RecordBatch:
-        place = np.repeat(np.arange(len(self.ids), dtype=np.int64), [len(i) for i in self.ids])
-        pairs, times = np.unique(np.concatenate(self.ids).astype(np.int64) << 16 | place, return_counts=True)
-        if times.max() > MOST_IN_REF:  # a very frequent word of a very long text becomes several references
-            parts = -(-times // MOST_IN_REF)
-            pairs = np.repeat(pairs, parts)
-            last = np.cumsum(parts) - 1
-            remainder = times - (parts - 1) * MOST_IN_REF
-            times = np.full(len(pairs), MOST_IN_REF, np.int64)
-            times[last] = remainder
-        word, doc = pairs >> 16, (pairs & 0xFFFF).astype("<u2")
-        learned = np.where(np.array(self.held)[doc], 0, times)
-        edges = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word))
-        train = np.add.reduceat(learned, edges[:-1])
-        times = times.astype("<u2")
-        names = list(self.number)
-        refs = [doc[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-        counts = [times[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-        rest = [None] * (len(names) - 1)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.binary()), pa.array(train, pa.int64()), pa.array(np.full(len(names), self.base), pa.int64()), pa.array(np.full(len(names), len(self.ids)), pa.int64()), pa.array(refs, pa.binary()), pa.array(counts, pa.binary()), pa.array([self.docs, *rest], pa.list_(kind)), pa.array([self.held, *rest], pa.list_(pa.bool_()))],
-            ["unit", "train", "base", "texts", "docs", "times", "keys", "held"],
-        )
-
-
-def _turned(batches: Iterator[pa.RecordBatch], order: int, across: bool) -> Iterator[pa.RecordBatch]:
+    """Many texts: their distinct grams and words with the counts in training texts, and blocks of the texts themselves."""
+
+    def __init__(self, number: int, order: int, across: bool, kind: pa.DataType):
+        self.number, self.order, self.across, self.kind = number, order, across, kind
+        self.texts = self.bytes = self.blocks = 0
+        self.words: Counter[bytes] = Counter()
+        self.grams: tuple[np.ndarray, np.ndarray] = _distinct([], [])
+        self.clear()
+
+    def clear(self) -> None:
+        # Training texts and held-out texts of the block under way, with their keys.
+        self.open: dict[bool, tuple[list[bytes], list]] = {False: ([], []), True: ([], [])}
+        self.gathered = 0
+
+    def add(self, key, held: bool, text: bytes) -> None:
+        parts = []
+        for piece in _pieces(text.lower()):
+            words = piece.split()
+            if held:
+                self.words.update(dict.fromkeys(words, 0))
+            else:
+                self.words.update(words)
+            parts.extend((b" ".join(words), b" ") if words else ())
+        self.words[END] += not held
+        spelled = b"".join((*parts, END))
+        self.open[held][0].append(spelled)
+        self.open[held][1].append(key)
+        self.texts, self.bytes, self.gathered = self.texts + 1, self.bytes + len(spelled), self.gathered + len(spelled)
+
+    def full(self, most_texts: int) -> bool:
+        return self.texts >= most_texts or self.bytes >= CHUNK_BYTES or len(self.grams[0]) >= CHUNK_GRAMS or len(self.words) >= CHUNK_WORDS
+
+    def block(self) -> pa.RecordBatch:
+        """The texts of the block under way, training texts first; their grams join those of the chunk."""
+        values, counts = [self.grams[0]], [self.grams[1]]
+        for held, (texts, _) in self.open.items():
+            for grams, inside, _, _ in _grams(b"".join(texts), self.order, self.across) if texts else ():
+                found = np.sort(grams[inside])
+                edges = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))[: len(found)]
+                values.append(found[edges])
+                counts.append(np.diff(edges, append=len(found)) * (not held))
+        self.grams = _distinct(values, counts)
+        (learned, learned_keys), (kept, kept_keys) = self.open.values()
+        whole = b"".join((*learned, *kept))
+        self.blocks += 1
+        row = self.row(1)
+        row["seq"] = pa.array([self.blocks], pa.int32())
+        row["text"] = pa.array([pa.compress(whole, "zstd", asbytes=True)], pa.binary())
+        row["count"] = pa.array([len(whole)], pa.int64())
+        row["keys"] = pa.array([learned_keys + kept_keys], pa.list_(self.kind))
+        row["held"] = pa.array([[False] * len(learned) + [True] * len(kept)], pa.list_(pa.bool_()))
+        self.clear()
+        return pa.RecordBatch.from_pydict(row)
+
+    def row(self, n: int) -> dict[str, pa.Array]:
+        kinds = {"seq": pa.int32(), "gram": pa.int64(), "word": pa.binary(), "count": pa.int64(), "text": pa.binary(), "keys": pa.list_(self.kind), "held": pa.list_(pa.bool_())}
+        return {"chunk": pa.array(np.full(n, self.number), pa.int64())} | {name: pa.nulls(n, kind) for name, kind in kinds.items()}
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if self.gathered:
+            yield self.block()
+        grams, counts = self.grams
+        for at in range(0, len(grams), ROWS):
+            row = self.row(len(grams[at : at + ROWS]))
+            yield pa.RecordBatch.from_pydict(row | {"gram": pa.array(grams[at : at + ROWS]), "count": pa.array(counts[at : at + ROWS], pa.int64())})
+        words, counts = list(self.words), list(self.words.values())
+        for at in range(0, len(words), ROWS):
+            row = self.row(len(words[at : at + ROWS]))
+            yield pa.RecordBatch.from_pydict(row | {"word": pa.array(words[at : at + ROWS], pa.binary()), "count": pa.array(counts[at : at + ROWS], pa.int64())})
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], order: int, across: bool, most_texts: int) -> Iterator[pa.RecordBatch]:
     chunk = None
     for batch in batches:
         kind = batch.schema.field(1).type
-        for row, doc, held, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strings(batch.column(3)), strict=True):
+        for row, key, held, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
             if chunk is None:
-                chunk = _Chunk(row, order, across)
-            chunk.add(doc, held, text)
-            if len(chunk.ids) >= CHUNK_TEXTS or chunk.tokens >= CHUNK_TOKENS:
-                yield chunk.rows(kind)
+                chunk = _Chunk(row, order, across, kind)
+            chunk.add(key, held, text or b"")
+            if chunk.gathered >= BLOCK:
+                yield chunk.block()
+            if chunk.full(most_texts):
+                yield from chunk.rows()
                 chunk = None
     if chunk is not None:
-        yield chunk.rows(kind)
+        yield from chunk.rows()
 
 
-def _grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
-    """For each byte of each unit's word: it and the ``order`` bytes before it, packed in one number, the byte itself lowest."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a chunk's grams and ``log_p``, or of its words, their ``count`` in the chunk and ``total``, packed into blocks by
+    chunk; ``n`` and ``v`` sum the counts and the words that are ``first`` of their kind and occur in training texts."""
+    held, size = [], 0
     for batch in batches:
-        units = batch.column(0).to_pylist()
-        spelled = [u if u[order:] == END else u + bytes([AFTER]) for u in units]
-        raw = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64)
-        sizes = np.array([len(s) for s in spelled])
-        packed = np.zeros(max(0, len(raw) - order), np.int64)
-        for k in range(order + 1):
-            packed = packed << 8 | raw[k : k + len(packed)]
-        ends = np.cumsum(sizes)
-        counts = sizes - order
-        inside = np.ones(len(packed), bool)
-        inside[(ends[:-1, None] - order + np.arange(order)).ravel()] = False
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(1).to_numpy(), counts)), pa.array(np.repeat(batch.column(2).to_numpy(), counts)), pa.array(packed[inside])], ["unit_key", "train", "gram"])
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens, known tokens and both scores, per text, of the units seen in this task; blocks of texts side by side, handed on
-    every ``MOST_SUMS`` texts."""
-    begins: dict[int, int] = {}
-    sums, used = np.zeros((4, 1 << 16)), 0
-
-    def out() -> Iterator[pa.RecordBatch]:
-        for base, begin in begins.items():
-            blocks = [(at, sums[:, begin + at : begin + min(at + BLOCK_TEXTS, widths[base])]) for at in range(0, widths[base], BLOCK_TEXTS)]
-            blocks = [(at, values) for at, values in blocks if values[0].any()]
-            yield pa.RecordBatch.from_arrays([pa.array([base + at for at, _ in blocks], pa.int64()), pa.array([values.tobytes() for _, values in blocks], pa.binary())], ["block", "sums"])
-
-    widths: dict[int, int] = {}
+        held.append(batch)
+        size += len(batch)
+        if size >= PACKED_ROWS:
+            yield _blocks(pa.Table.from_batches(held))
+            held, size = [], 0
+    if size:
+        yield _blocks(pa.Table.from_batches(held))
+
+
+def _blocks(rows: pa.Table) -> pa.RecordBatch:
+    named = "word" in rows.column_names
+    chunk = rows["chunk"].to_numpy()
+    order = np.argsort(chunk, kind="stable") if named else np.lexsort((rows["gram"].to_numpy(), chunk))
+    chunk, rows = chunk[order], rows.take(order)
+    edges = np.flatnonzero(np.concatenate(([True], chunk[1:] != chunk[:-1])))
+    n = v = np.zeros(len(edges), np.int64)
+    if named:
+        names, values = rows["word"].to_pylist(), rows["total"].to_numpy()
+        n, v = np.add.reduceat(rows["count"].to_numpy(), edges), np.add.reduceat((rows["first"].to_numpy() & (values > 0)).astype(np.int64), edges)
+    else:
+        grams, values = rows["gram"].to_numpy(), rows["log_p"].to_numpy()
+    keys, sizes, of = [], [], []
+    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(chunk)], strict=True):
+        raw = b" ".join(names[a:b]) if named else np.diff(grams[a:b], prepend=0).tobytes()
+        keys.append(pa.compress(raw, "zstd", asbytes=True))
+        sizes.append(len(raw))
+        of.append(pa.compress(values[a:b].tobytes(), "zstd", asbytes=True))
+    return pa.RecordBatch.from_pydict({"chunk": pa.array(chunk[edges]), "seq": pa.array(np.full(len(edges), WORDS if named else GRAMS, np.int32)), "text": pa.array(keys, pa.binary()), "count": pa.array(sizes, pa.int64()), "logs": pa.array(of, pa.binary()), "n": pa.array(n), "v": pa.array(v)})
+
+
+class _Values:
+    """Logarithms of a chunk's grams and words."""
+
+    def __init__(self, order: int, across: bool, tokens: int):
+        self.order, self.across, self.tokens = order, across, tokens
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.grams: pa.Array | None = None
+        self.place: dict[bytes, int] = {}
+        self.counts: list[np.ndarray] = []
+
+    def add(self, seq: int, keys: bytes, values: bytes) -> None:
+        if seq == GRAMS:
+            self.parts.append((np.cumsum(np.frombuffer(keys, np.int64)), np.frombuffer(pa.decompress(values, len(keys), "zstd", asbytes=True), np.float64)))
+        else:
+            words = keys.split(b" ")
+            self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
+            self.counts.append(np.frombuffer(pa.decompress(values, 8 * len(words), "zstd", asbytes=True), np.int64))
+
+    def ready(self) -> None:
+        if self.grams is None:
+            self.grams = pa.array(np.concatenate([g for g, _ in self.parts]))
+            self.logs = np.concatenate([p for _, p in self.parts])
+            counts = np.concatenate(self.counts)
+            self.flat, self.known = np.log10((counts + 1) / self.tokens), counts > 0
+            self.parts = self.counts = []
+
+    def sums(self, block: bytes) -> dict[str, np.ndarray]:
+        """Tokens, known tokens and both scores of each text of a block."""
+        self.ready()
+        raw = np.frombuffer(block, np.uint8)
+        ends = np.flatnonzero(raw == END[0])
+        words = np.add.reduceat((raw == AFTER).view(np.int8), np.concatenate(([0], ends[:-1] + 1)), dtype=np.int64)
+        score = np.zeros(len(ends) + 1)  # the last is the white space behind the last text
+        for grams, inside, begins, first in _grams(block, self.order, self.across):
+            logs = np.zeros(len(grams))
+            logs[inside] = self.logs[pc.index_in(pa.array(grams[inside]), value_set=self.grams).to_numpy()]
+            score[first : first + len(begins)] += np.add.reduceat(logs, begins)
+        end = self.place[END]
+        known, base = np.full(len(ends), int(self.known[end])), np.full(len(ends), self.flat[end])
+        edges, at = np.cumsum(words), 0
+        for piece in _pieces(block):
+            tokens = piece.split()
+            place = np.fromiter(map(self.place.__getitem__, tokens), np.int64, len(tokens))
+            text = np.searchsorted(edges, np.arange(at, at + len(tokens)), side="right")
+            known += np.bincount(text[self.known[place]], minlength=len(ends))
+            base += np.bincount(text, weights=self.flat[place], minlength=len(ends))
+            at += len(tokens)
+        return {"n_tokens": words + 1, "n_known": known, "base_score": base, "score": score[:-1]}
+
+
+def _scored(batches: Iterator[pa.RecordBatch], order: int, across: bool, tokens: int) -> Iterator[pa.RecordBatch]:
+    """The texts of each chunk with their sums; a chunk's rows come together, its texts last."""
+    number, values = None, None
     for batch in batches:
-        names = batch.schema.names
-        base, texts, docs, times, train, flat, model = (batch.column(names.index(c)) for c in ("base", "texts", "docs", "times", "count", "base_log", "log_p"))
-        if used >= MOST_SUMS:
-            yield from out()
-            begins, sums, used = {}, np.zeros((4, 1 << 16)), 0
-        for b, n in dict(zip(base.to_pylist(), texts.to_pylist(), strict=True)).items():
-            if b not in begins:
-                begins[b], widths[b] = used, n
-                used += n
-        if used > sums.shape[1]:
-            sums = np.concatenate((sums, np.zeros((4, max(sums.shape[1], used - sums.shape[1])))), axis=1)
-        refs = docs.to_pylist()
-        sizes = np.array([len(r) // 2 for r in refs])
-        place = np.repeat(np.array([begins[b] for b in base.to_pylist()]), sizes) + np.frombuffer(b"".join(refs), "<u2")
-        n = np.frombuffer(b"".join(times.to_pylist()), "<u2").astype(np.float64)
-        # One text may have several references of a unit, so places can repeat.
-        for row, each in enumerate((None, train.to_numpy() > 0, flat.to_numpy(), model.to_numpy())):
-            np.add.at(sums[row], place, n if each is None else n * np.repeat(each, sizes))
-    yield from out()
-
-
-def _merged(parts: pa.Table) -> pa.Table:
-    """The sums of one block from all tasks, a row per text. A block has as many parts as tasks saw words of its texts."""
-    sums = sum(np.frombuffer(p.as_py(), np.float64).reshape(4, -1) for p in parts.column("sums"))
-    some = np.flatnonzero(sums[0])
-    row = some + parts.column("block")[0].as_py()
-    return pa.table({"row": row, "n_tokens": sums[0][some].astype(np.int64), "n_known": sums[1][some].astype(np.int64), "base_score": sums[2][some], "score": sums[3][some]})
-
-
-def units_of(texts: DataFrame, key: str, text: str, held_out, order: int, across: bool) -> DataFrame:
-    """Stored units by group of texts: ``unit``, ``train`` (its count in training texts), and references to the texts; one row of
-    a group also lists the texts' keys."""
-    plain = texts.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("key"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(f"`{text}`").cast("string").alias("text"))
+        for i, (chunk, seq, size) in enumerate(zip(*(batch[c].to_pylist() for c in ("chunk", "seq", "count")), strict=True)):
+            if chunk != number:
+                number, values = chunk, _Values(order, across, tokens)
+            raw = pa.decompress(batch["text"][i].as_py(), size, "zstd", asbytes=True)
+            if seq in (GRAMS, WORDS):
+                values.add(seq, raw, batch["logs"][i].as_py())
+            else:
+                sums = values.sums(raw)
+                yield pa.RecordBatch.from_pydict({"doc_id": batch["keys"].slice(i, 1).flatten(), "held_out": batch["held"].slice(i, 1).flatten()} | {name: pa.array(each) for name, each in sums.items()})
+
+
+def _chunked(texts: DataFrame, key: str, text: str, held_out, order: int, across: bool) -> DataFrame:
+    """Stored chunks of texts, numbered by ``chunk``: rows of ``gram`` and ``count`` (in training texts), rows of ``word`` and
+    ``count``, and rows of ``text`` (``count`` bytes when taken apart) with the texts' ``keys``."""
+    plain = texts.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("key"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(f"`{text}`").cast("string").cast("binary").alias("text"))
     kind = plain.schema["key"].dataType.simpleString()
-    return stored(map_arrow(plain, partial(_turned, order=order, across=across), f"unit binary, train bigint, base bigint, texts bigint, docs binary, times binary, keys array<{kind}>, held array<boolean>"), "ppm-units")
+    return stored(map_arrow(plain, partial(_chunks, order=order, across=across, most_texts=CHUNK_TEXTS), f"chunk bigint, seq int, gram bigint, word binary, count bigint, text binary, keys array<{kind}>, held array<boolean>"), "ppm-chunks")
 
 
 def gram_log_p(grams: DataFrame, order: int) -> DataFrame:
@@ -218,20 +323,17 @@ def score(texts: DataFrame, held_out, key: str = "doc_id", text: str = "text", o
     training tokens, V: distinct ones); ``score`` is the model's log10 probability of the text. A null or empty text is the end
     token alone. With ``across``, contexts run over the starts of words. Repeated rows count and are scored each. No rows give none.
     """
-    turned = units_of(texts, key, text, held_out, order, across)
-    word = F.substring("unit", order + 1, 2**31 - 1)
-    units = stored(turned.groupBy("unit").agg(F.sum("train").alias("train")).withColumn("unit_key", F.xxhash64("unit")).withColumn("word", word), "ppm-unit-counts")
-    words = stored(units.groupBy("word").agg(F.sum("train").alias("count")), "ppm-counts")
-    sums = words.agg(F.sum("count").alias("n"), F.count(F.when(F.col("count") > 0, 1)).alias("v")).first()
-    n, v = sums["n"] or 0, sums["v"]
-    spelled = map_arrow(units.select("unit", "unit_key", "train"), partial(_grams, order=order), "unit_key bigint, train bigint, gram bigint")
-    grams = stored(spelled.groupBy("gram").agg(F.sum("train").alias("train")), "ppm-all-grams")
-    by_unit = spelled.select("gram", "unit_key").join(gram_log_p(grams, order), "gram").groupBy("unit_key").agg(F.sum("log_p").alias("log_p"))
-    flat = F.log10((F.col("count") + 1) / F.lit(float(n + v + 1)))
-    scored = stored(units.join(by_unit, "unit_key").join(words, "word").select("unit", "count", flat.alias("base_log"), "log_p"), "ppm-scored")
-    met = turned.select("unit", "base", "texts", "docs", "times").join(scored, "unit")
-    parts = map_arrow(met, _summed, "block bigint, sums binary")
-    per_text = parts.groupBy("block").applyInArrow(_merged, "row bigint, n_tokens bigint, n_known bigint, base_score double, score double")
-    listed = turned.where(F.col("keys").isNotNull()).select("base", F.posexplode(F.arrays_zip("keys", "held")).alias("i", "k"))
-    rows = stored(listed.select((F.col("base") + F.col("i")).alias("row"), F.col("k.keys").alias("doc_id"), F.col("k.held").alias("held_out")), "ppm-rows")
-    return rows.join(per_text, "row").select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    chunks = _chunked(texts, key, text, held_out, order, across)
+    grams, words = chunks.where("gram IS NOT NULL").select("chunk", "gram", "count"), chunks.where("word IS NOT NULL").select("chunk", "word", "count")
+    same = Window.partitionBy("word").orderBy("chunk")
+    total = F.sum("count").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    block = "chunk bigint, seq int, text binary, count bigint, logs binary, n bigint, v bigint"
+    counted = stored(map_arrow(words.select("chunk", "word", "count", total.alias("total"), (F.row_number().over(same) == 1).alias("first")), _packed, block), "ppm-counts")
+    sums = counted.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+    n, v = sums["n"] or 0, sums["v"] or 0
+    logs = gram_log_p(stored(grams.groupBy("gram").agg(F.sum("count").alias("train")), "ppm-all-grams"), order)
+    met = map_arrow(grams.select("chunk", "gram").join(logs, "gram").select("chunk", "gram", "log_p"), _packed, block)
+    every = met.unionByName(counted).drop("n", "v").unionByName(chunks.where("text IS NOT NULL").drop("gram", "word"), allowMissingColumns=True)
+    kind = chunks.schema["keys"].dataType.elementType.simpleString()
+    scored = map_arrow(every.repartition("chunk").sortWithinPartitions("chunk", "seq"), partial(_scored, order=order, across=across, tokens=n + v + 1), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

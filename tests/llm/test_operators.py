@@ -436,6 +436,42 @@ def test_ppm_across_words_equals_brute_force(spark, odd, monkeypatch):
     assert score[61] > score[64] and abs(score[61] - score[64]) > 0.1
 
 
+def test_ppm_stores_grams_and_words_not_pairs_of_words(spark, monkeypatch):
+    words = [f"relation{i * 7919 % 9000 + 1000}" for i in range(80)]
+    docs = spark.createDataFrame([(i, " ".join(f"{a} {b}" for b in words)) for i, a in enumerate(words)], "doc_id long, text string").coalesce(1)
+    rows, store = {}, ppm.stored
+
+    def counted(df, label):
+        out = store(df, label)
+        rows[label] = max(rows.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(ppm, "stored", counted)
+    assert ppm.score(docs, F.col("doc_id") % 7 == 2, across=True).count() == 80
+    pairs = len({(a[-4:], b) for a in words for b in words})
+    assert pairs == 6400 and max(rows.values()) < pairs / 2, rows
+
+
+@pytest.mark.parametrize("order", [0, 1, 5])
+@pytest.mark.parametrize("across", [True, False])
+def test_ppm_grams_in_parts(order, across, monkeypatch):
+    texts = [b"", b"one two", b"a", b"three  x y", b"", b"z" * 40, b"u v w"]
+    block = b"".join(b"".join(w + b" " for w in t.split()) + b"\n" for t in texts)
+    want = []
+    for i, t in enumerate(texts):
+        pad = b" " * order
+        parts = [pad + b"".join(w + b" " for w in t.split()) + b"\n"] if across else [pad + w + b" " for w in t.split()] + [pad + b"\n"]
+        want += [(i, int.from_bytes(p[at - order : at + 1], "big")) for p in parts for at in range(order, len(p))]
+    for piece in (1, 2, 7, 1000):
+        monkeypatch.setattr(ppm, "PIECE", piece)
+        found = []
+        for grams, inside, begins, first in ppm._grams(block, order, across):
+            text = first + np.searchsorted(begins, np.arange(len(grams)), side="right") - 1
+            found += zip(text[inside].tolist(), grams[inside].tolist(), strict=True)
+        assert found == want
+        assert [w for part in ppm._pieces(b" ".join(texts)) for w in part.split()] == b" ".join(texts).split()
+
+
 def test_personal_data_spans(spark):
     text = "Mail a.b@x.example.org, a@b@c.de or x@y; 10.0.0.256 1.2.3.4 0001.2.3.4.5 4918187128635271 4918 1871-2863 5272 +1 (625) 555-7196 +12 é😀 z@q.io"
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
